@@ -11,7 +11,7 @@ import re
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from inkmill.functions.text import WS, let, lines, strip
+from inkmill.functions.text import INLINE_BLANKS, WS, ends_blank, let, lines, strip
 from inkmill.settings import Normalization
 
 # Fixed values.
@@ -64,8 +64,13 @@ def restore_code(text: Column, blocks: Column) -> Column:
 
 
 def strip_trailing(text: Column) -> Column:
-    """Drop blanks at line ends."""
-    return F.regexp_replace(text, f"(?<![{WS}])[{WS}]++(?=\\n|\\z)", "")
+    """Drop blanks at line ends. Only the last character of each line is looked at, unless it is a blank."""
+    return F.array_join(
+        F.transform(
+            lines(text), lambda line: F.when(ends_blank(line), F.rtrim(line, F.lit(INLINE_BLANKS))).otherwise(line)
+        ),
+        "\n",
+    )
 
 
 def collapse_newlines(text: Column, most: int = 2) -> Column:

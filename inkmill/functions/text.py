@@ -40,6 +40,11 @@ def starts_blank(text: Column) -> Column:
     return F.instr(F.lit(BLANKS), F.left(text, F.lit(1))) > 0
 
 
+def ends_blank(text: Column) -> Column:
+    """Last character is a blank; also true for the empty string."""
+    return F.instr(F.lit(BLANKS), F.right(text, F.lit(1))) > 0
+
+
 def has_ink(line: Column) -> Column:
     """The line holds something besides blanks. The first character decides nearly always."""
     return ~starts_blank(line) | line.rlike(f"[^{WS_NL}]")
@@ -47,5 +52,4 @@ def has_ink(line: Column) -> Column:
 
 def strip(text: Column) -> Column:
     """Remove blanks at both ends; text that has none is passed through without a copy."""
-    ends_blank = F.instr(F.lit(BLANKS), F.right(text, F.lit(1))) > 0
-    return F.when(starts_blank(text) | ends_blank, F.btrim(text, F.lit(BLANKS))).otherwise(text)
+    return F.when(starts_blank(text) | ends_blank(text), F.btrim(text, F.lit(BLANKS))).otherwise(text)

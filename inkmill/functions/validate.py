@@ -87,13 +87,14 @@ def _periodic(units: Column, separator: str, options: Validation) -> Column:
     def with_period(k: Column) -> Column:
         last = F.floor((count - 1) / k).cast("int") - (whole - 1)
 
-        def anchored(j: Column) -> Column:
+        def anchored(at: Column) -> Column:
             equal = F.lit(True)
             for step in range(1, whole):
-                equal = equal & (F.get(units, (j + (step - 1)) * k) == F.get(units, (j + step) * k))
-            return equal & confirmed(j * k, k)
+                before = at if step == 1 else at + (step - 1) * k
+                equal = equal & (F.get(units, before) == F.get(units, at + (k if step == 1 else step * k)))
+            return equal & confirmed(at, k)
 
-        return (last >= 0) & F.exists(F.sequence(F.lit(0), F.greatest(last, F.lit(0))), anchored)
+        return (last >= 0) & F.exists(F.sequence(F.lit(0), F.greatest(last, F.lit(0)) * k, k), anchored)
 
     longest = F.floor((count + len(separator)) / copies).cast("int")
     # On characters the token length is the period itself.
