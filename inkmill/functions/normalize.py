@@ -169,6 +169,7 @@ def normalize(text: Column, options: Normalization = Normalization()) -> Column:
         kept = F.filter(lines(unify_bullets(body, options.bullet_char)), lambda line: ~_is_empty_heading(line))
         return let(F.array_join(F.transform(kept, _collapse_line), "\n"), strip)
 
-    return F.when(F.length(text) == 0, text).otherwise(
-        let(code_blocks(text), lambda blocks: restore_code(clean(protect_code(text, blocks)), blocks))
-    )
+    return F.when(
+        F.length(text) > 0,
+        let(code_blocks(text), lambda blocks: restore_code(clean(protect_code(text, blocks)), blocks)),
+    ).otherwise(text)
