@@ -13,12 +13,15 @@ from pyspark.sql import functions as F
 from inkmill.functions.normalize import normalize
 from inkmill.functions.validate import RESULT_TYPE as VALIDATION_TYPE
 from inkmill.functions.validate import validate
-from inkmill.operators.extraction import RESULT_TYPE, Extractors, PythonExtractor
+from inkmill.operators.extraction import RESULT_TYPE, Extractors, PythonExtractor, Unavailable
 from inkmill.operators.routing import UNKNOWN, lookup, unsupported_reason
 from inkmill.settings import Settings
 from inkmill.sources.staging import staged
 
 
+_STATE = ("try_mode", "escalated_to", "retry_count", "raw_md", "title", "clean_md", "validation", "last_error")
+
+
 def following(chain: tuple[str, ...]) -> dict[str, str]:
     """mode -> next mode. A mode listed twice counts where it stands first."""
     return {mode: chain[i + 1] for i, mode in enumerate(chain[:-1]) if chain.index(mode) == i}
@@ -45,33 +48,41 @@ def _begin(df: DataFrame) -> DataFrame:
     )
 
 
-def _attempt(df: DataFrame, active: Column, result: Column, settings: Settings) -> DataFrame:
+def _moved_on(fails: Column, active: Column, moved: Column) -> dict[str, Column]:
+    retried = fails & moved.isNotNull()
+    return {
+        "try_mode": F.when(fails, moved).when(~active, F.col("try_mode")),
+        "escalated_to": F.when(retried, moved).otherwise(F.col("escalated_to")),
+        "retry_count": F.col("retry_count") + retried.cast("int"),
+    }
+
+
+def _attempt(
+    df: DataFrame, active: Column, result: Column, moved: Column, cleaned: Column, judged: Column
+) -> DataFrame:
     """One mode for the `active` documents: extract, normalize, validate, and move on those that fail."""
     kept = [c for c in df.columns if c not in _STATE]
-    tried = df.withColumn("_x", F.when(active, result))
-    cleaned = tried.withColumn("_clean", normalize(F.col("_x.raw_md"), settings.normalization))
-    judged = cleaned.withColumn("_v", validate(F.col("_clean"), F.col("size"), settings.validation))
-
-    moved = next_mode(F.col("try_mode"), settings)
-    passed = F.coalesce(F.col("_v.passed"), F.lit(False))
-    fails = active & ~passed
+    tried = df.withColumn("_x", F.when(active, result)).withColumn("_clean", cleaned).withColumn("_v", judged)
+    fails = active & ~F.coalesce(F.col("_v.passed"), F.lit(False))
     has_text = F.col("_x.raw_md").isNotNull()
-    return judged.select(
-        *kept,
-        F.when(fails, moved).when(~active, F.col("try_mode")).alias("try_mode"),
-        F.when(fails & moved.isNotNull(), moved).otherwise(F.col("escalated_to")).alias("escalated_to"),
-        (F.col("retry_count") + (fails & moved.isNotNull()).cast("int")).alias("retry_count"),
-        F.when(has_text, F.col("_x.raw_md")).otherwise(F.col("raw_md")).alias("raw_md"),
-        F.when(has_text, F.col("_x.title")).otherwise(F.col("title")).alias("title"),
-        F.when(has_text, F.col("_clean")).otherwise(F.col("clean_md")).alias("clean_md"),
-        F.coalesce("_v", "validation").alias("validation"),
-        F.coalesce(F.col("_x.extract_error"), F.col("last_error")).alias("last_error"),
+    after = {
+        **_moved_on(fails, active, moved),
+        "raw_md": F.when(has_text, F.col("_x.raw_md")).otherwise(F.col("raw_md")),
+        "title": F.when(has_text, F.col("_x.title")).otherwise(F.col("title")),
+        "clean_md": F.when(has_text, F.col("_clean")).otherwise(F.col("clean_md")),
+        "validation": F.coalesce("_v", "validation"),
+        "last_error": F.coalesce(F.col("_x.extract_error"), F.col("last_error")),
+    }
+    return tried.select(*kept, *[after[name].alias(name) for name in _STATE])
+
+
+def _refuse(df: DataFrame, active: Column, error: str, moved: Column) -> DataFrame:
+    """A mode without an engine: only the error and the position in the chain change."""
+    return df.withColumns(
+        {**_moved_on(active, active, moved), "last_error": F.when(active, F.lit(error)).otherwise(F.col("last_error"))}
     )
 
 
-_STATE = ("try_mode", "escalated_to", "retry_count", "raw_md", "title", "clean_md", "validation", "last_error")
-
-
 def _with_engine(df: DataFrame, active: Column, extractor: PythonExtractor) -> DataFrame:
     """Add the engine's answers for the active rows as `extracted`.
 
@@ -93,18 +104,30 @@ def escalate(df: DataFrame, settings: Settings = Settings(), extractors: Extract
     if len(set(chain)) != len(chain):
         raise ValueError(f"a mode listed twice would be retried for ever: {chain}")
     off_chain = [m for m in extractors.registered if m not in chain]
-
-    df = _begin(df)
     at = F.coalesce("try_mode", F.lit(""))
     # Modes outside the chain get one attempt; those nobody registered act as the standard mode.
-    steps = [(at == m, extractors.get(m)) for m in off_chain]
-    steps.append((F.col("try_mode").isNotNull() & ~at.isin(*chain, *off_chain), extractors.get("")))
-    steps += [(at == m, extractors.get(m)) for m in chain]
+    strays = (at != "") & ~at.isin(*chain, *off_chain)
+    steps = [(at == mode, extractors.get(mode)) for mode in (*off_chain, *chain)]
+    if "standard" in chain:
+        place = len(off_chain) + chain.index("standard")
+        steps[place] = ((at == "standard") | strays, extractors.get("standard"))
+    else:
+        steps.insert(0, (strays, extractors.get("")))
+
+    # Built once, used by every step: the intermediate columns have the same names throughout.
+    moved = next_mode(F.col("try_mode"), settings)
+    cleaned = normalize(F.col("_x.raw_md"), settings.normalization)
+    judged = validate(F.col("_clean"), F.col("size"), settings.validation)
+
+    df = _begin(df)
     for active, extractor in steps:
-        if isinstance(extractor, PythonExtractor):
-            df = _attempt(_with_engine(df, active, extractor), active, F.col("extracted"), settings).drop("extracted")
+        if isinstance(extractor, Unavailable):
+            df = _refuse(df, active, extractor.error, moved)
+        elif isinstance(extractor, PythonExtractor):
+            answered = _with_engine(df, active, extractor)
+            df = _attempt(answered, active, F.col("extracted"), moved, cleaned, judged).drop("extracted")
         else:
-            df = _attempt(df, active, extractor(), settings)
+            df = _attempt(df, active, extractor(), moved, cleaned, judged)
     return df
 
 

@@ -96,7 +96,17 @@ class PythonExtractor:
         return df.mapInArrow(run, StructType([*df.schema.fields, StructField("extracted", result_type)]))
 
 
-Extractor = Callable[[], Column] | PythonExtractor
+@dataclass(frozen=True)
+class Unavailable:
+    """A mode that needs an outside engine nobody registered; every document that reaches it gets this error."""
+
+    error: str
+
+    def __call__(self) -> Column:
+        return failed(F.lit(self.error))
+
+
+Extractor = Callable[[], Column] | PythonExtractor | Unavailable
 
 
 @dataclass(frozen=True)
@@ -109,7 +119,7 @@ class Extractors:
         if mode in self.registered:
             return self.registered[mode]
         if mode in EXTERNAL_MODES:
-            return lambda: failed(F.lit(f"no extractor registered for mode '{mode}'"))
+            return Unavailable(f"no extractor registered for mode '{mode}'")
         return self.registered.get("standard", standard)
 
 

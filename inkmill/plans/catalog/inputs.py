@@ -39,7 +39,7 @@ def markdown(spark: SparkSession, sf: str) -> DataFrame:
         "# Turn ", turn, "  \n\n\n\n##\n* ", F.replace(text, F.lit("\n"), F.lit("\n+ ")), " \t\n",
         "```txt\n* keep  \n##\n```\n\n",
         F.repeat(_text("speaker ", role, " said "), 3 + turn.cast("int") % 3), "\n",
-        "\n　+ see ~~~\n", turn, "\n~~~ here \n###### \n",
+        "\n\u3000+ see ~~~\n", turn, "\n~~~ here\u00a0\n###### \n",
     )
     return rows.select("conv_id", "turn", raw.alias("raw")).withColumn(
         "size", F.octet_length("raw").cast("bigint") * (1 + 200 * (F.col("conv_id") % 5 == 0).cast("int"))
@@ -116,7 +116,7 @@ def ocr_files(spark: SparkSession, sf: str) -> DataFrame:
     box = F.lit(None).cast("array<array<double>>")
 
     def line(text: Column) -> Column:
-        info = F.struct(F.concat(F.lit(" "), text, F.lit("　")).alias("text"), F.lit(0.9).alias("confidence"))
+        info = F.struct(F.concat(F.lit(" "), text, F.lit("\u3000")).alias("text"), F.lit(0.9).alias("confidence"))
         return F.struct(box.alias("box"), F.when(~F.startswith(text, F.lit("L")), info).alias("info"))
 
     pages = F.transform(F.split("text", "\n", -1), lambda page: F.transform(F.split(page, r"\.", -1), line))

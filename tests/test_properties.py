@@ -10,9 +10,10 @@ from inkmill.settings import Normalization, Validation
 from tests import expectations as E
 
 PIECES = [
-    "a", "bc", " ", "  ", "\t", "\n", "\n\n", "\n\n\n\n", "\r", "\r\n", "\x0b", "\x1c", "\x85", " ", " ", " ",
-    "　", "# ", "## ", "#", "####### x", "* ", "+ ", "*", "**b**", "- ", "```", "~~~", "```py\n", "\n```\n", "~~~\n* x  \n~~~",
-    "한글 문서 ", "😀", "$1\\", "hello world! ", "abcdefghij", "0123456789AB", "__CODEBLOCK_", "speaker one said ", "ab ",
+    "a", "bc", " ", "  ", "\t", "\n", "\n\n", "\n\n\n\n", "\r", "\r\n", "\x0b", "\x1c", "\x85", "\xa0", "\u2003",
+    "\u2028", "\u3000", "# ", "## ", "#", "####### x", "* ", "+ ", "*", "**b**", "- ", "```", "~~~", "```py\n",
+    "\n```\n", "~~~\n* x  \n~~~", "한글 문서 ", "😀", "$1\\", "hello world! ", "abcdefghij", "0123456789AB",
+    "__CODEBLOCK_", "speaker one said ", "ab ",
 ]
 
 
