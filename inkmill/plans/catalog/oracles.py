@@ -162,17 +162,27 @@ def _line_runs(source: str, keys: str, text: str, target: str) -> str:
 def _inner_repeats(source: str, keys: str, text: str, target: str) -> str:
     """CTE of the keys of texts with a line that equals itself shifted by k >= 10 over a stretch of 4k characters.
 
-    Such a stretch covers four multiples of k; lines where those agree for some k are then compared in full.
+    Such a stretch covers four multiples of k in a row. Lines where the characters at those agree for some k are looked
+    at closer: the three blocks between them must agree as a whole, and then some start must give the full stretch. Lines settled by
+    their first candidate are not looked at again.
     """
     anchors = " AND ".join(f"c[(j + {i}) * k + 1] = c[(j + {i + 1}) * k + 1]" for i in range(4))
-    pairs = f"""flatten(list_transform(range(10, n // 5 + 1), lambda k:
-      list_transform(list_filter(range(0, (n - 1) // k - 3), lambda j: {anchors}), lambda j: [k, j])))"""
+    hits = f"list_filter(range(0, (n - 1) // k - 3), lambda j: {anchors})"
+
+    def stretch(candidates: str) -> str:
+        return f"""SELECT DISTINCT l FROM (SELECT l, k, unnest(range(greatest((j - 1) * k, 0), j * k + 1)) AS s FROM ({candidates}))
+  WHERE length(substr(l, (s + k + 1)::int, (4 * k)::int)) = 4 * k
+  AND substr(l, (s + 1)::int, (4 * k)::int) = substr(l, (s + k + 1)::int, (4 * k)::int)"""
+
+    pairs = f"flatten(list_transform(range(10, n // 5 + 1), lambda k: list_transform({hits}, lambda j: [k, j])))"
     return f"""{target}_l AS (SELECT {keys}, unnest(string_split({text}, chr(10))) AS l FROM {source}),
-{target}_d AS (SELECT DISTINCT l, length(l)::bigint AS n FROM {target}_l WHERE length(l) >= 50 AND regexp_matches(l, '[^{WS}]')),
-{target}_p AS (SELECT l, n, unnest({pairs}) AS p FROM (SELECT l, n, string_split(l, '') AS c FROM {target}_d)),
-{target}_s AS (SELECT l, p[1] AS k, unnest(range(greatest((p[2] - 1) * p[1], 0), p[2] * p[1] + 1)) AS s FROM {target}_p),
-{target}_f AS (SELECT DISTINCT l FROM {target}_s WHERE length(substr(l, (s + k + 1)::int, (4 * k)::int)) = 4 * k
-  AND substr(l, (s + 1)::int, (4 * k)::int) = substr(l, (s + k + 1)::int, (4 * k)::int)),
+{target}_d AS MATERIALIZED (SELECT l, length(l)::bigint AS n FROM (SELECT DISTINCT l FROM {target}_l WHERE length(l) >= 50 AND regexp_matches(l, '[^{WS}]'))),
+{target}_c AS MATERIALIZED (SELECT l, n, c FROM (SELECT l, n, string_split(l, '') AS c FROM {target}_d)
+  WHERE len(list_filter(range(10, n // 5 + 1), lambda k: len({hits}) > 0)) > 0),
+{target}_p AS MATERIALIZED (SELECT l, p[1] AS k, p[2] AS j FROM (SELECT l, unnest({pairs}) AS p FROM {target}_c)),
+{target}_b AS MATERIALIZED (SELECT * FROM {target}_p WHERE substr(l, (j * k + 1)::int, (3 * k)::int) = substr(l, ((j + 1) * k + 1)::int, (3 * k)::int)),
+{target}_e AS MATERIALIZED ({stretch(f"SELECT l, min(k) AS k, arg_min(j, (k, j)) AS j FROM {target}_b GROUP BY l")}),
+{target}_f AS (SELECT l FROM {target}_e UNION ({stretch(f"SELECT * FROM {target}_b ANTI JOIN {target}_e USING (l)")})),
 {target} AS (SELECT DISTINCT {keys} FROM {target}_l SEMI JOIN {target}_f USING (l))"""
 
 
@@ -323,11 +333,11 @@ ORACLES: dict[str, str] = {
         _collapsed("split", "conv_id, turn", "lines", "done"), select="SELECT conv_id, turn, body AS out FROM done",
     ),
     "strip_doc": _md(f"trim(raw, {BLANK_CHARS})"),
-    # Everything outside the blocks was brought to lower case.
+    # Spaces outside the blocks were replaced.
     "restore_code": _with(
         MARKDOWN,
         select=f"""SELECT conv_id, turn, array_to_string(list_transform(list_zip(string_split_regex(raw, '{FENCE}'), regexp_extract_all(raw, '{FENCE}')),
-          lambda z: lower(z[1]) || coalesce(z[2], '')), '') AS out FROM md""",
+          lambda z: replace(z[1], ' ', '_') || coalesce(z[2], '')), '') AS out FROM md""",
     ),
     "normalize_all": _with(TEXTS, _normalized("texts", "doc_id", "text", "done"), select="SELECT doc_id, clean AS clean_md FROM done"),
     "normalize_markdown": _with(

@@ -161,10 +161,9 @@ def _step(function: Callable[[Column], Column]) -> Query:
 
 def restore_code(spark: SparkSession, sf: str) -> DataFrame:
     md = inputs.markdown(spark, sf).withColumn("blocks", N.code_blocks(F.col("raw")))
-    hidden = md.withColumn("hidden", F.upper(N.protect_code(F.lower("raw"), F.col("blocks"))))
-    # Upper-casing spoils the tokens' digits, so bring those back before restoring.
-    tokens = F.regexp_replace(F.lower("hidden"), "__codeblock_", N.TOKEN_PREFIX)
-    return hidden.select("conv_id", "turn", N.restore_code(tokens, F.col("blocks")).alias("out"))
+    # What happens to the text in between must not reach the blocks; tokens hold no space.
+    changed = F.replace(N.protect_code(F.col("raw"), F.col("blocks")), F.lit(" "), F.lit("_"))
+    return md.select("conv_id", "turn", N.restore_code(changed, F.col("blocks")).alias("out"))
 
 
 def normalize_all(spark: SparkSession, sf: str) -> DataFrame:
