@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from inkmill.functions.text import let, strip
+from inkmill.functions.text import strip
 
 # Fixed values: (pattern, replacement) in order of application. Removing whole elements comes first, so that nothing
 # inside a script or comment is taken for a tag.
@@ -44,6 +46,11 @@ TITLE = r"(?is)<title\b[^>]*>(.*?)</title\s*>"
 # possessive repeats keep matching linear and off the call stack.
 CSV_CELL = r'(?<![^,\n])(?:"(?:[^"]++|"")*+(?:"|\z)[^,\n]*+|[^,\n]*+)(?:,|\n|\z)'
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """Compute `value` once for an expression that uses it several times."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 OCR_TYPE = "array<array<struct<box:array<array<double>>,info:struct<text:string,confidence:double>>>>"
 
 
@@ -91,9 +98,9 @@ def csv_to_markdown(text: Column) -> Column:
                 return F.slice(parts["cells"], start + 1, end - start)
 
             records = F.filter(F.transform(parts["ends"], record), lambda r: ~((F.size(r) == 1) & (F.get(r, F.lit(0)) == "")))
-            return let(records, render)
+            return _let(records, render)
 
-        return let(F.struct(cells.alias("cells"), ends.alias("ends")), assemble)
+        return _let(F.struct(cells.alias("cells"), ends.alias("ends")), assemble)
 
     def render(records: Column) -> Column:
         width = F.size(F.get(records, F.lit(0)))
@@ -107,7 +114,7 @@ def csv_to_markdown(text: Column) -> Column:
         every = F.concat(F.slice(rows, 1, 1), F.array(rule), F.slice(rows, F.lit(2), F.size(rows)))
         return F.when(F.size(records) == 0, F.lit("")).otherwise(F.array_join(every, "\n"))
 
-    return let(F.regexp_extract_all(text, F.lit(CSV_CELL), F.lit(0)), table)
+    return _let(F.regexp_extract_all(text, F.lit(CSV_CELL), F.lit(0)), table)
 
 
 def ocr_to_markdown(pages: Column) -> Column:

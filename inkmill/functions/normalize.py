@@ -1,7 +1,8 @@
 """Markdown normalization as column expressions.
 
-Each step is usable alone; `normalize` chains them. A step that works per line uses a higher-order function over the
-document's line array, so a document never leaves its row and nothing is shuffled.
+Each step takes a column name (or any SQL expression) and is usable alone; `normalize` chains them. A step that works
+per line uses a higher-order function over the document's line array, so a document never leaves its row and nothing
+is shuffled.
 """
 
 from __future__ import annotations
@@ -11,165 +12,155 @@ import re
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from inkmill.functions.text import INLINE_BLANKS, WS, ends_blank, let, lines, strip
+from inkmill.functions.text import BLANKS, INLINE_BLANKS, WS, ends_blank, let, lines, sql_text, starts_blank
 from inkmill.settings import Normalization
 
 # Fixed values.
-FENCED_BLOCK = "(?s)```[^\\n]*\\n.*?```|~~~[^\\n]*\\n.*?~~~"
+FENCED_BLOCK = r"(?s)```[^\n]*\n.*?```|~~~[^\n]*\n.*?~~~"
 TOKEN_PREFIX, TOKEN_SUFFIX = "__CODEBLOCK_", "__"
 MIN_TOKEN_LENGTH, MIN_TOKEN_REPEATS = 10, 3
 
 TOKEN_PATTERN = f"{TOKEN_PREFIX}[0-9a-f]{{32}}{TOKEN_SUFFIX}"
 
 
-def _block_token(position: Column, block: Column) -> Column:
+def _block_token(position: str, block: str) -> str:
     """Stand-in for a code block: 32 hex digits, of which the middle 8 number the block and the others depend on it."""
-    digest = F.md5(F.concat(position.cast("string"), block))
-    number = F.lpad(F.lower(F.hex(position)), 8, "0")
-    return F.concat(
-        F.lit(TOKEN_PREFIX), F.left(digest, F.lit(12)), number, F.substring(digest, 13, 12), F.lit(TOKEN_SUFFIX)
-    )
+    digest = f"md5(concat(cast({position} AS string), {block}))"
+    number = f"lpad(lower(hex({position})), 8, '0')"
+    return f"concat('{TOKEN_PREFIX}', left({digest}, 12), {number}, substring({digest}, 13, 12), '{TOKEN_SUFFIX}')"
 
 
-def _interleave(pieces: Column, between: Column) -> Column:
+def _interleave(pieces: str, between: str) -> str:
     """p1 b1 p2 b2 ... pn, in one linear pass."""
-    return F.array_join(F.transform(pieces, lambda p, i: F.concat(p, F.coalesce(F.get(between, i), F.lit("")))), "")
-
-
-def code_blocks(text: Column) -> Column:
-    """Fenced blocks in order of appearance."""
-    may_have = F.contains(text, F.lit("```")) | F.contains(text, F.lit("~~~"))
-    none = F.array().cast("array<string>")
-    return F.when(may_have, F.regexp_extract_all(text, F.lit(FENCED_BLOCK), F.lit(0))).otherwise(none)
+    return f"array_join(transform({pieces}, (piece, i) -> concat(piece, coalesce(get({between}, i), ''))), '')"
 
 
-def protect_code(text: Column, blocks: Column) -> Column:
-    """Replace the `blocks` (from `code_blocks`) by tokens."""
-    tokens = F.transform(blocks, lambda b, i: _block_token(i, b))
-    return F.when(F.size(blocks) == 0, text).otherwise(_interleave(F.split(text, FENCED_BLOCK, -1), tokens))
+def _code_blocks(text: str) -> str:
+    return f"""CASE WHEN contains({text}, '```') OR contains({text}, '~~~')
+        THEN regexp_extract_all({text}, r'{FENCED_BLOCK}', 0) ELSE cast(array() AS array<string>) END"""
 
 
-def restore_code(text: Column, blocks: Column) -> Column:
-    """Put the blocks back. Each token names its block, so the work is linear in the text, however many blocks it has."""
+def _protect_code(text: str, blocks: str) -> str:
+    tokens = f"transform({blocks}, (block, i) -> {_block_token('i', 'block')})"
+    woven = let("tokens", tokens, _interleave(f"split({text}, r'{FENCED_BLOCK}', -1)", "tokens"))
+    return f"CASE WHEN size({blocks}) = 0 THEN {text} ELSE {woven} END"
 
-    def original(token: Column) -> Column:
-        number = F.conv(F.substring(token, len(TOKEN_PREFIX) + 13, 8), 16, 10).cast("bigint")
-        return let(
-            F.when(number < F.size(blocks), number.cast("int")),
-            lambda n: F.when(_block_token(n, F.get(blocks, n)) == token, F.get(blocks, n)).otherwise(token),
-        )
 
-    found = F.transform(F.regexp_extract_all(text, F.lit(TOKEN_PATTERN), F.lit(0)), original)
-    return F.when(F.size(blocks) == 0, text).otherwise(_interleave(F.split(text, TOKEN_PATTERN, -1), found))
-
-
-def strip_trailing(text: Column) -> Column:
-    """Drop blanks at line ends. Only the last character of each line is looked at, unless it is a blank."""
-    return F.array_join(
-        F.transform(
-            lines(text), lambda line: F.when(ends_blank(line), F.rtrim(line, F.lit(INLINE_BLANKS))).otherwise(line)
-        ),
-        "\n",
+def _restore_code(text: str, blocks: str) -> str:
+    number = f"cast(conv(substring(token, {len(TOKEN_PREFIX) + 13}, 8), 16, 10) AS bigint)"
+    original = let(
+        "n",
+        f"CASE WHEN {number} < size({blocks}) THEN cast({number} AS int) END",
+        f"CASE WHEN {_block_token('n', f'get({blocks}, n)')} = token THEN get({blocks}, n) ELSE token END",
     )
+    found = f"transform(regexp_extract_all({text}, r'{TOKEN_PATTERN}', 0), token -> {original})"
+    woven = let("found", found, _interleave(f"split({text}, r'{TOKEN_PATTERN}', -1)", "found"))
+    return f"CASE WHEN size({blocks}) = 0 THEN {text} ELSE {woven} END"
 
 
-def collapse_newlines(text: Column, most: int = 2) -> Column:
-    """Runs of more than `most` line feeds become exactly `most`."""
-    return F.regexp_replace(text, f"\\n{{{most + 1},}}", "\n" * most)
+def _strip_trailing(text: str) -> str:
+    trimmed = f"CASE WHEN {ends_blank('line')} THEN rtrim({sql_text(INLINE_BLANKS)}, line) ELSE line END"
+    return f"array_join(transform({lines(text)}, line -> {trimmed}), '\n')"
 
 
-def unify_bullets(text: Column, bullet: str = "-") -> Column:
-    """List items that start with `*` or `+` get the given bullet; indentation and spacing stay."""
-    literal = re.sub(r"([\\$])", r"\\\1", bullet)
-    return F.regexp_replace(text, f"(?md)^([{WS}]*+)[*+]([{WS}]++)", f"$1{literal}$2")
+def _collapse_newlines(text: str, most: int) -> str:
+    return f"regexp_replace({text}, r'\\n{{{most + 1},}}', '{chr(10) * most}')"
 
 
-def _is_empty_heading(line: Column) -> Column:
-    return F.startswith(line, F.lit("#")) & line.rlike(f"\\A#{{1,6}}[{WS}]*+\\z")
+def _unify_bullets(text: str, bullet: str) -> str:
+    literal = re.sub(r"([\\$])", r"\\\1", bullet)
+    return f"regexp_replace({text}, r'(?md)^([{WS}]*+)[*+]([{WS}]++)', {sql_text(f'$1{literal}$2')})"
 
 
-def drop_empty_headings(text: Column) -> Column:
-    """Remove lines that are a heading mark without a title."""
-    return F.array_join(F.filter(lines(text), lambda line: ~_is_empty_heading(line)), "\n")
+def _kept_lines(text: str) -> str:
+    empty = f"startswith(line, '#') AND line RLIKE r'\\A#{{1,6}}[{WS}]*+\\z'"
+    return f"filter({lines(text)}, line -> NOT ({empty}))"
 
 
-def _longest_recurring_prefix(line: Column) -> Column:
+def _longest_recurring_prefix(line: str) -> str:
     """Largest L such that the first L characters occur again at or after position 2L (0 if there is none).
 
     Three copies of a prefix in a row put one of them there, so L bounds the length of every collapsible token. A
     shorter prefix recurs wherever a longer one does, so bisection finds L with about log2(n) searches.
     """
-    third = F.floor(F.length(line) / MIN_TOKEN_REPEATS).cast("int")
-    steps = F.ceil(F.log2(third + 1)).cast("int")
-    start = F.struct(F.lit(0).alias("lo"), third.alias("hi"))
-
-    def halve(s: Column, _: Column) -> Column:
-        mid = F.floor((s["lo"] + s["hi"] + 1) / 2).cast("int")
-        recurs = let(mid, lambda m: F.position(F.left(line, m), line, 2 * m + 1) > 0)
-        return F.when(s["lo"] >= s["hi"], s).otherwise(
-            let(
-                F.struct(mid.alias("m"), recurs.alias("r")),
-                lambda p: F.struct(
-                    F.when(p["r"], p["m"]).otherwise(s["lo"]).alias("lo"),
-                    F.when(p["r"], s["hi"]).otherwise(p["m"] - 1).alias("hi"),
-                ),
-            )
-        )
-
-    return F.aggregate(F.sequence(F.lit(1), steps + 1), start, halve, lambda s: s["lo"])
-
-
-def _collapse_line(line: Column) -> Column:
-    shortest = F.lit(MIN_TOKEN_LENGTH)
-
-    def attempt(s: Column, size: Column) -> Column:
-        at = F.instr(s["line"], F.repeat(F.left(s["line"], size), F.lit(MIN_TOKEN_REPEATS)))
-        return F.when(size > s["cap"], s).otherwise(
-            let(
-                at,
-                lambda p: F.when(p == 0, s).otherwise(
-                    let(
-                        F.concat(
-                            F.left(s["line"], p - 1 + size),
-                            F.substr(s["line"], p + MIN_TOKEN_REPEATS * size),
-                        ),
-                        lambda shorter: F.struct(
-                            shorter.alias("line"), _longest_recurring_prefix(shorter).alias("cap")
-                        ),
-                    )
-                ),
-            )
-        )
-
-    def from_longest(cap: Column) -> Column:
-        return F.aggregate(
-            F.sequence(cap, shortest, F.lit(-1)),
-            F.struct(line.alias("line"), cap.alias("cap")),
-            attempt,
-            lambda s: s["line"],
-        )
-
-    # Nearly every line stops at these two tests, which only look at bytes.
-    candidate = (F.octet_length(line) >= MIN_TOKEN_LENGTH * MIN_TOKEN_REPEATS) & (
-        F.position(F.left(line, shortest), line, F.lit(2 * MIN_TOKEN_LENGTH + 1)) > 0
+    third = f"cast(length({line}) DIV {MIN_TOKEN_REPEATS} AS int)"
+    halve = let(
+        "mid",
+        "cast((b.lo + b.hi + 1) DIV 2 AS int)",
+        f"""CASE WHEN position(left({line}, mid), {line}, 2 * mid + 1) > 0
+            THEN named_struct('lo', mid, 'hi', b.hi) ELSE named_struct('lo', b.lo, 'hi', mid - 1) END""",
     )
-    return F.when(candidate, let(_longest_recurring_prefix(line), from_longest)).otherwise(line)
+    return f"""aggregate(sequence(1, cast(ceil(log2({third} + 1)) AS int) + 1), named_struct('lo', 0, 'hi', {third}),
+        (b, step) -> CASE WHEN b.lo >= b.hi THEN b ELSE {halve} END, b -> b.lo)"""
+
+
+def _collapse_line(line: str) -> str:
+    shorter = f"concat(left(s.line, p - 1 + n), substring(s.line, p + {MIN_TOKEN_REPEATS} * n))"
+    replaced = let("cut", shorter, f"named_struct('line', cut, 'cap', {_longest_recurring_prefix('cut')})")
+    at = f"instr(s.line, repeat(left(s.line, n), {MIN_TOKEN_REPEATS}))"
+    attempt = f"CASE WHEN n > s.cap THEN s ELSE {let('p', at, f'CASE WHEN p = 0 THEN s ELSE {replaced} END')} END"
+    from_longest = f"""aggregate(sequence(cap, {MIN_TOKEN_LENGTH}, -1), named_struct('line', {line}, 'cap', cap),
+        (s, n) -> {attempt}, s -> s.line)"""
+    # Nearly every line stops at these two tests.
+    return f"""CASE WHEN octet_length({line}) >= {MIN_TOKEN_LENGTH * MIN_TOKEN_REPEATS}
+            AND position(left({line}, {MIN_TOKEN_LENGTH}), {line}, {2 * MIN_TOKEN_LENGTH + 1}) > 0
+        THEN {let('cap', _longest_recurring_prefix(line), from_longest)} ELSE {line} END"""
+
+
+def _strip(text: str) -> str:
+    blank = f"{starts_blank(text)} OR {ends_blank(text)}"
+    return f"CASE WHEN {blank} THEN btrim({text}, {sql_text(BLANKS)}) ELSE {text} END"
+
+
+def code_blocks(text: str) -> Column:
+    """Fenced blocks in order of appearance."""
+    return F.expr(_code_blocks(text))
 
 
-def collapse_repeats(text: Column) -> Column:
+def protect_code(text: str, blocks: str) -> Column:
+    """Replace the `blocks` (from `code_blocks`) by tokens."""
+    return F.expr(_protect_code(text, blocks))
+
+
+def restore_code(text: str, blocks: str) -> Column:
+    """Put the blocks back. Each token names its block, so the work is linear in the text, however many blocks it has."""
+    return F.expr(_restore_code(text, blocks))
+
+
+def strip_trailing(text: str) -> Column:
+    """Drop blanks at line ends. Only the last character of each line is looked at, unless it is a blank."""
+    return F.expr(_strip_trailing(text))
+
+
+def collapse_newlines(text: str, most: int = 2) -> Column:
+    """Runs of more than `most` line feeds become exactly `most`."""
+    return F.expr(_collapse_newlines(text, most))
+
+
+def unify_bullets(text: str, bullet: str = "-") -> Column:
+    """List items that start with `*` or `+` get the given bullet; indentation and spacing stay."""
+    return F.expr(_unify_bullets(text, bullet))
+
+
+def drop_empty_headings(text: str) -> Column:
+    """Remove lines that are a heading mark without a title."""
+    return F.expr(f"array_join({_kept_lines(text)}, '\n')")
+
+
+def collapse_repeats(text: str) -> Column:
     """Per line: if a prefix of 10+ characters occurs three times in a row anywhere, keep one copy; longest prefix first."""
-    return F.array_join(F.transform(lines(text), _collapse_line), "\n")
+    return F.expr(f"array_join(transform({lines(text)}, line -> {_collapse_line('line')}), '\n')")
 
 
-def normalize(text: Column, options: Normalization = Normalization()) -> Column:
-    """All steps in order. Empty and null text is returned as it is."""
+def strip_document(text: str) -> Column:
+    """Remove blanks at both ends; text that has none is passed through without a copy."""
+    return F.expr(_strip(text))
 
-    def clean(body: Column) -> Column:
-        body = collapse_newlines(strip_trailing(body), options.max_consecutive_newlines)
-        kept = F.filter(lines(unify_bullets(body, options.bullet_char)), lambda line: ~_is_empty_heading(line))
-        return let(F.array_join(F.transform(kept, _collapse_line), "\n"), strip)
 
-    return F.when(
-        F.length(text) > 0,
-        let(code_blocks(text), lambda blocks: restore_code(clean(protect_code(text, blocks)), blocks)),
-    ).otherwise(text)
+def normalize(text: str, options: Normalization = Normalization()) -> Column:
+    """All steps in order. Empty and null text is returned as it is."""
+    body = _collapse_newlines(_strip_trailing(_protect_code(text, "blocks")), options.max_consecutive_newlines)
+    kept = _kept_lines(_unify_bullets(body, options.bullet_char))
+    joined = f"array_join(transform({kept}, line -> {_collapse_line('line')}), '\n')"
+    restored = let("body", let("joined", joined, _strip("joined")), _restore_code("body", "blocks"))
+    return F.expr(f"CASE WHEN length({text}) > 0 THEN {let('blocks', _code_blocks(text), restored)} ELSE {text} END")

@@ -1,11 +1,11 @@
-"""Quality checks on clean Markdown as column expressions."""
+"""Quality checks on clean Markdown as column expressions. Arguments are column names or any SQL expressions."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from inkmill.functions.text import WS_NL, any_let, has_ink, let, lines
+from inkmill.functions.text import WS_NL, has_ink, let, lines, sql_text
 from inkmill.settings import Validation
 
 # Wording of reasons and warnings.
@@ -18,171 +18,148 @@ RESULT_TYPE = (
 )
 
 
-def char_count(text: Column) -> Column:
-    return F.length(text)
+def _heading_count(text: str) -> str:
+    marks = f"regexp_count({text}, r'(?md)^#{{1,6}}[{WS_NL}]+[^{WS_NL}]')"
+    return f"CASE WHEN contains({text}, '#') THEN {marks} WHEN {text} IS NOT NULL THEN 0 END"
 
 
-def heading_count(text: Column) -> Column:
-    """Heading marks followed by a title; the blanks between them may span lines."""
-    marks = F.regexp_count(text, F.lit(f"(?md)^#{{1,6}}[{WS_NL}]+[^{WS_NL}]"))
-    return F.when(F.contains(text, F.lit("#")), marks).otherwise(0)
-
-
-def inked_lines(text: Column) -> Column:
-    return F.filter(lines(text), has_ink)
+def _inked_lines(text: str) -> str:
+    return f"filter({lines(text)}, line -> {has_ink('line')})"
 
 
-def _repeated_lines(kept: Column, options: Validation) -> Column:
+def _repeated_lines(kept: str, options: Validation) -> str:
     # A run needs two equal neighbours, whatever the threshold.
     run = max(options.max_repetition_count, 2)
-
-    def run_starts(i: Column) -> Column:
-        first = F.get(kept, i)
-        rest = F.forall(F.sequence(i + 2, i + run - 1), lambda j: F.get(kept, j) == first) if run > 2 else F.lit(True)
-        return (first == F.get(kept, i + 1)) & (F.length(first) >= options.repetition_min_length) & rest
-
-    return F.when(F.size(kept) >= run, F.exists(F.sequence(F.lit(0), F.size(kept) - run), run_starts)).otherwise(False)
+    rest = f"forall(sequence(i + 2, i + {run - 1}), j -> get({kept}, j) = get({kept}, i))" if run > 2 else "true"
+    return f"""(size({kept}) >= {run} AND exists(sequence(0, greatest(size({kept}) - {run}, 0)), i ->
+        get({kept}, i) = get({kept}, i + 1) AND length(get({kept}, i)) >= {options.repetition_min_length} AND {rest}))"""
 
 
-def repeated_lines(text: Column, options: Validation = Validation()) -> Column:
-    """Enough equal, long enough lines in a row, blank lines left out."""
-    return any_let(inked_lines(text), lambda kept: _repeated_lines(kept, options))
-
-
-def _periodic(units: Column, separator: str, options: Validation) -> Column:
+def _periodic(units: str, separator: str, options: Validation) -> str:
     """Some token, `max_repetition_count` times back to back, lies in the text whose split into `units` is given.
 
     With period k (in units), such a stretch makes units equal that lie k apart, and it is long enough to cover several
-    multiples of k in a row. Testing only those multiples costs about n ln n comparisons over all k, and almost
-    none of them gets past the first. What does is then decided exactly on the characters around it.
+    multiples of k in a row. Testing only those multiples costs about n ln n comparisons over all k, and almost none
+    of them gets past the first. What does is then decided exactly on the characters around it.
     """
     copies, shortest = options.max_repetition_count, options.repetition_min_length
     whole = copies if separator == "" else copies - 1  # equal anchors guaranteed inside the stretch
-    count = F.size(units)
 
-    def joined(first: Column, many: Column) -> Column:
-        # Zero-based; a slice past either end is cut off there.
-        start = F.greatest(first, F.lit(0))
-        return F.array_join(F.slice(units, start + 1, first + many - start), separator)
+    # Characters from one period before the anchor to where a stretch around it must end. The stretch has that
+    # period if comparing the characters with those one token later gives a long enough unbroken run.
+    start = "greatest(at - k, 0)"
+    window = f"array_join(slice({units}, {start} + 1, at + {copies + 1} * k - {start}), '{separator}')"
+    overlap = "size(c) - token"
+    same = f"zip_with(slice(c, 1, {overlap}), slice(c, token + 1, {overlap}), (x, y) -> IF(x = y, '=', ' '))"
+    run = f"exists(split(array_join({same}, ''), ' '), r -> octet_length(r) >= {copies - 1} * token)"
+    stretch = f"exists(array(split({window}, '')), c -> {overlap} > 0 AND {run})"
+    token = f"length(array_join(slice({units}, at + 1, k), '{separator}')) + {len(separator)}"
+    inner = f"{copies - 2} * k"
+    confirmed = f"""slice({units}, at + 1, {inner}) = slice({units}, at + k + 1, {inner})
+        AND exists(array({token}), token -> token >= {shortest} AND {stretch})"""
+
+    anchors = [f"get({units}, at + {i} * k) = get({units}, at + {i + 1} * k)" for i in range(whole - 1)]
+    # The first comparison settles nearly all cases, so it is kept as short as can be.
+    anchors[:1] = [f"get({units}, at) = get({units}, at + k)"] if anchors else []
+    last = f"cast((size({units}) - 1) DIV k AS int) - {whole - 1}"
+    with_period = f"""{last} >= 0 AND exists(sequence(0, greatest({last}, 0) * k, k), at ->
+        {' AND '.join([*anchors, confirmed])})"""
+
+    longest = f"cast((size({units}) + {len(separator)}) DIV {copies} AS int)"
+    # On characters the token length is the period itself.
+    first = shortest if separator == "" else 1
+    return f"({longest} >= {first} AND exists(sequence({first}, greatest({longest}, {first})), k -> {with_period}))"
 
-    def confirmed(at: Column, k: Column) -> Column:
-        def long_enough(size: Column) -> Column:
-            chars = F.split(joined(at - k, (copies + 2) * k), "")
 
-            def stretch(c: Column) -> Column:
-                overlap = F.size(c) - size
-                same = F.zip_with(
-                    F.slice(c, F.lit(1), overlap), F.slice(c, size + 1, overlap), lambda a, b: F.when(a == b, "=").otherwise(" ")
-                )
-                runs = F.split(F.array_join(same, ""), " ")
-                return (overlap > 0) & F.exists(runs, lambda r: F.octet_length(r) >= (copies - 1) * size)
+def _repeated_inside(line: str, options: Validation) -> str:
+    needed = options.max_repetition_count * options.repetition_min_length
+    long_enough = f"octet_length({line}) >= {needed} AND length({line}) >= {needed}"
+    if options.max_repetition_count == 1:
+        return f"({long_enough})"
+    # A repeated token either holds a space, and so repeats words, or lies within one word.
+    in_word = f"""exists(words, word -> octet_length(word) >= {needed}
+        AND exists(array(split(word, '')), chars -> {_periodic('chars', '', options)}))"""
+    by_word = f"exists(array(split({line}, ' ', -1)), words -> {in_word} OR {_periodic('words', ' ', options)})"
+    return f"({long_enough} AND {by_word})"
 
-            return (size >= shortest) & any_let(chars, stretch)
 
-        inner = (copies - 2) * k
-        recurs = F.slice(units, at + 1, inner) == F.slice(units, at + k + 1, inner)
-        size = F.length(joined(at, k)) + len(separator)
-        return recurs & any_let(size, long_enough)
+def _repetition_flag(text: str, options: Validation) -> str:
+    inside = f"exists(kept, line -> {_repeated_inside('line', options)})"
+    return f"exists(array({_inked_lines(text)}), kept -> {_repeated_lines('kept', options)} OR {inside})"
 
-    def with_period(k: Column) -> Column:
-        last = F.floor((count - 1) / k).cast("int") - (whole - 1)
 
-        def anchored(at: Column) -> Column:
-            equal = F.lit(True)
-            for step in range(1, whole):
-                before = at if step == 1 else at + (step - 1) * k
-                equal = equal & (F.get(units, before) == F.get(units, at + (k if step == 1 else step * k)))
-            return equal & confirmed(at, k)
+def _extraction_ratio(text: str, size: str) -> str:
+    return f"CASE WHEN {size} > 0 THEN length({text}) / {size} END"
 
-        return (last >= 0) & F.exists(F.sequence(F.lit(0), F.greatest(last, F.lit(0)) * k, k), anchored)
 
-    longest = F.floor((count + len(separator)) / copies).cast("int")
-    # On characters the token length is the period itself.
-    first = shortest if separator == "" else 1
-    return (longest >= first) & F.exists(F.sequence(F.lit(first), F.greatest(longest, F.lit(first))), with_period)
+def _failure_reasons(count: str, repeated: str, ratio: str, options: Validation) -> str:
+    repetition = (
+        f"repetition detected: same {options.repetition_min_length}+ char string "
+        f"repeated {options.max_repetition_count}+ times"
+    )
+    return f"""array_compact(array(
+        CASE WHEN {count} < {options.min_char_count} THEN concat('char_count=', {count}, ' < min={options.min_char_count}') END,
+        CASE WHEN {repeated} THEN {sql_text(repetition)} END,
+        CASE WHEN {ratio} < {options.min_extraction_ratio}D
+            THEN concat('extraction_ratio=', {_four_digits(ratio)}, ' < min={options.min_extraction_ratio}') END))"""
 
 
-def _repeated_inside(line: Column, options: Validation) -> Column:
-    needed = options.max_repetition_count * options.repetition_min_length
-    long_enough = (F.octet_length(line) >= needed) & (F.length(line) >= needed)
-    if options.max_repetition_count == 1:
-        return long_enough
+def _four_digits(ratio: str) -> str:
+    return f"format_string('%.4f', {ratio})"
 
-    def by_word(words: Column) -> Column:
-        # A repeated token either holds a space, and so repeats words, or lies within one word.
-        in_word = F.exists(
-            words,
-            lambda w: (F.octet_length(w) >= needed) & any_let(F.split(w, ""), lambda c: _periodic(c, "", options)),
-        )
-        return in_word | _periodic(words, " ", options)
 
-    return long_enough & any_let(F.split(line, " ", -1), by_word)
+def char_count(text: str) -> Column:
+    return F.expr(f"length({text})")
 
 
-def repeated_inside_line(text: Column, options: Validation = Validation()) -> Column:
-    """Some long enough token occurs often enough back to back inside one line."""
-    return F.exists(inked_lines(text), lambda line: _repeated_inside(line, options))
+def heading_count(text: str) -> Column:
+    """Heading marks followed by a title; the blanks between them may span lines."""
+    return F.expr(_heading_count(text))
 
 
-def repetition_flag(text: Column, options: Validation = Validation()) -> Column:
-    return any_let(
-        inked_lines(text),
-        lambda kept: _repeated_lines(kept, options) | F.exists(kept, lambda line: _repeated_inside(line, options)),
-    )
+def inked_lines(text: str) -> Column:
+    """Lines that are not blank."""
+    return F.expr(_inked_lines(text))
 
 
-def extraction_ratio(text: Column, size: Column) -> Column:
-    """Characters per input byte; null when the size is unknown or not positive."""
-    return F.when(size > 0, F.length(text) / size)
+def repeated_lines(text: str, options: Validation = Validation()) -> Column:
+    """Enough equal, long enough lines in a row, blank lines left out."""
+    return F.expr(f"exists(array({_inked_lines(text)}), kept -> {_repeated_lines('kept', options)})")
 
 
-def failure_reasons(count: Column, repeated: Column, ratio: Column, options: Validation = Validation()) -> Column:
-    """Reasons of a non-empty document, in fixed order."""
-    short = F.concat(F.lit("char_count="), count.cast("string"), F.lit(f" < min={options.min_char_count}"))
-    repetition = (
-        f"repetition detected: same {options.repetition_min_length}+ char string "
-        f"repeated {options.max_repetition_count}+ times"
-    )
-    thin = F.concat(F.lit("extraction_ratio="), F.format_string("%.4f", ratio), F.lit(f" < min={options.min_extraction_ratio}"))
-    return F.array_compact(
-        F.array(
-            F.when(count < options.min_char_count, short),
-            F.when(repeated, F.lit(repetition)),
-            F.when(ratio < options.min_extraction_ratio, thin),
-        )
-    )
+def repeated_inside_line(text: str, options: Validation = Validation()) -> Column:
+    """Some long enough token occurs often enough back to back inside one line."""
+    return F.expr(f"exists({_inked_lines(text)}, line -> {_repeated_inside('line', options)})")
+
+
+def repetition_flag(text: str, options: Validation = Validation()) -> Column:
+    return F.expr(_repetition_flag(text, options))
+
+
+def extraction_ratio(text: str, size: str) -> Column:
+    """Characters per input byte; null when the size is unknown or not positive."""
+    return F.expr(_extraction_ratio(text, size))
 
 
-def validate(text: Column, size: Column, options: Validation = Validation()) -> Column:
+def validate(text: str, size: str, options: Validation = Validation()) -> Column:
     """All checks, packed in a struct. Empty text fails at once and skips the others."""
-    none = F.array().cast("array<string>")
-
-    def result(passed, count, headings, repeated, ratio, reasons, warnings) -> Column:
-        return F.struct(
-            passed.alias("passed"),
-            count.alias("char_count"),
-            headings.alias("heading_count"),
-            repeated.alias("repetition_flag"),
-            ratio.alias("extraction_ratio"),
-            reasons.alias("failure_reasons"),
-            warnings.alias("warnings"),
-        )
-
-    def judged(m: Column) -> Column:
-        reasons = failure_reasons(m["count"], m["repeated"], m["ratio"], options)
-        warnings = F.when(m["headings"] == 0, F.array(F.lit(NO_HEADING_WARNING))).otherwise(none)
-        return let(
-            reasons,
-            lambda r: result(F.size(r) == 0, m["count"], m["headings"], m["repeated"], m["ratio"], r, warnings),
-        )
-
-    measures = F.struct(
-        char_count(text).alias("count"),
-        heading_count(text).alias("headings"),
-        repetition_flag(text, options).alias("repeated"),
-        extraction_ratio(text, size).alias("ratio"),
+    none = "cast(array() AS array<string>)"
+
+    def result(passed: str, count: str, headings: str, repeated: str, ratio: str, reasons: str, warnings: str) -> str:
+        return f"""named_struct('passed', {passed}, 'char_count', {count}, 'heading_count', {headings},
+            'repetition_flag', {repeated}, 'extraction_ratio', {ratio}, 'failure_reasons', {reasons},
+            'warnings', {warnings})"""
+
+    measures = f"""named_struct('count', length({text}), 'headings', {_heading_count(text)},
+        'repeated', {_repetition_flag(text, options)}, 'ratio', {_extraction_ratio(text, size)})"""
+    warnings = f"CASE WHEN m.headings = 0 THEN array('{NO_HEADING_WARNING}') ELSE {none} END"
+    judged = let(
+        "reasons",
+        _failure_reasons("m.count", "m.repeated", "m.ratio", options),
+        result("size(reasons) = 0", "m.count", "m.headings", "m.repeated", "m.ratio", "reasons", warnings),
     )
-    empty = result(
-        F.lit(False), F.lit(0), F.lit(0), F.lit(False), extraction_ratio(text, size), F.array(F.lit(EMPTY_REASON)), none
+    empty = result("false", "0", "0", "false", _extraction_ratio(text, size), f"array('{EMPTY_REASON}')", none)
+    return F.expr(
+        f"""cast(CASE WHEN length({text}) = 0 THEN {empty}
+            WHEN {text} IS NOT NULL THEN {let('m', measures, judged)} END AS {RESULT_TYPE})"""
     )
-    return F.when(F.length(text) == 0, empty).when(text.isNotNull(), let(measures, judged)).cast(RESULT_TYPE)

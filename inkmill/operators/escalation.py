@@ -116,8 +116,8 @@ def escalate(df: DataFrame, settings: Settings = Settings(), extractors: Extract
 
     # Built once, used by every step: the intermediate columns have the same names throughout.
     moved = next_mode(F.col("try_mode"), settings)
-    cleaned = normalize(F.col("_x.raw_md"), settings.normalization)
-    judged = validate(F.col("_clean"), F.col("size"), settings.validation)
+    cleaned = normalize("_x.raw_md", settings.normalization)
+    judged = validate("_clean", "size", settings.validation)
 
     df = _begin(df)
     for active, extractor in steps:

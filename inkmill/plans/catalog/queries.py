@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from inkmill.functions import markup, normalize as N, paths, validate as V
-from inkmill.functions.text import strip
 from inkmill.operators import audit, report
 from inkmill.operators.escalation import attempt_summary, escalate, next_mode, outcome, quarantine
 from inkmill.operators.extraction import Extractors, extract, extracted, standard
@@ -152,60 +151,65 @@ def extract_errors(spark: SparkSession, sf: str) -> DataFrame:
 # normalization, step by step on the same Markdown
 
 
-def _step(function: Callable[[Column], Column]) -> Query:
+def _step(function: Callable[[str], Column]) -> Query:
     def query(spark: SparkSession, sf: str) -> DataFrame:
-        return inputs.markdown(spark, sf).select("conv_id", "turn", function(F.col("raw")).alias("out"))
+        return inputs.markdown(spark, sf).select("conv_id", "turn", function("raw").alias("out"))
 
     return query
 
 
+def protect_code(spark: SparkSession, sf: str) -> DataFrame:
+    md = inputs.markdown(spark, sf).withColumn("blocks", N.code_blocks("raw"))
+    return md.select("conv_id", "turn", N.protect_code("raw", "blocks").alias("out"))
+
+
 def restore_code(spark: SparkSession, sf: str) -> DataFrame:
-    md = inputs.markdown(spark, sf).withColumn("blocks", N.code_blocks(F.col("raw")))
+    md = inputs.markdown(spark, sf).withColumn("blocks", N.code_blocks("raw"))
     # What happens to the text in between must not reach the blocks; tokens hold no space.
-    changed = F.replace(N.protect_code(F.col("raw"), F.col("blocks")), F.lit(" "), F.lit("_"))
-    return md.select("conv_id", "turn", N.restore_code(changed, F.col("blocks")).alias("out"))
+    changed = md.withColumn("hidden", F.replace(N.protect_code("raw", "blocks"), F.lit(" "), F.lit("_")))
+    return changed.select("conv_id", "turn", N.restore_code("hidden", "blocks").alias("out"))
 
 
 def normalize_all(spark: SparkSession, sf: str) -> DataFrame:
-    return inputs.texts(spark, sf).select("doc_id", N.normalize(F.col("text")).alias("clean_md"))
+    return inputs.texts(spark, sf).select("doc_id", N.normalize("text").alias("clean_md"))
 
 
 # validation
 
 
 def _cleaned(spark: SparkSession, sf: str) -> DataFrame:
-    return inputs.markdown(spark, sf).select("conv_id", "turn", "size", N.normalize(F.col("raw")).alias("clean_md"))
+    return inputs.markdown(spark, sf).select("conv_id", "turn", "size", N.normalize("raw").alias("clean_md"))
 
 
 def char_count(spark: SparkSession, sf: str) -> DataFrame:
-    return inputs.texts(spark, sf).select("doc_id", V.char_count(F.col("text")).alias("char_count"))
+    return inputs.texts(spark, sf).select("doc_id", V.char_count("text").alias("char_count"))
 
 
 def heading_count(spark: SparkSession, sf: str) -> DataFrame:
-    return inputs.markdown(spark, sf).select("conv_id", "turn", V.heading_count(F.col("raw")).alias("heading_count"))
+    return inputs.markdown(spark, sf).select("conv_id", "turn", V.heading_count("raw").alias("heading_count"))
 
 
 def line_runs(spark: SparkSession, sf: str) -> DataFrame:
-    return inputs.texts(spark, sf).select("doc_id", V.repeated_lines(F.col("text")).alias("flag"))
+    return inputs.texts(spark, sf).select("doc_id", V.repeated_lines("text").alias("flag"))
 
 
 def substring_repeats(spark: SparkSession, sf: str) -> DataFrame:
-    return inputs.texts(spark, sf).select("doc_id", V.repeated_inside_line(F.col("text")).alias("flag"))
+    return inputs.texts(spark, sf).select("doc_id", V.repeated_inside_line("text").alias("flag"))
 
 
 def repetition_flag(spark: SparkSession, sf: str) -> DataFrame:
-    return inputs.texts(spark, sf).select("doc_id", V.repetition_flag(F.col("text")).alias("flag"))
+    return inputs.texts(spark, sf).select("doc_id", V.repetition_flag("text").alias("flag"))
 
 
 def extraction_ratio(spark: SparkSession, sf: str) -> DataFrame:
     size = F.when(F.col("turn") % 5 != 0, F.when(F.col("turn") % 3 == 0, 0).otherwise(F.col("size")))
-    ratio = V.extraction_ratio(F.col("raw"), size)
-    return inputs.markdown(spark, sf).select("conv_id", "turn", F.round(ratio, 6).alias("ratio"))
+    sized = inputs.markdown(spark, sf).withColumn("size", size)
+    return sized.select("conv_id", "turn", F.round(V.extraction_ratio("raw", "size"), 6).alias("ratio"))
 
 
 def validate_empty(spark: SparkSession, sf: str) -> DataFrame:
     files = inputs.files(spark, sf)
-    judged = files.withColumn("v", V.validate(F.col("text"), F.col("size")))
+    judged = files.withColumn("v", V.validate("text", "size"))
     return judged.select(
         "path", "v.passed", "v.char_count", "v.extraction_ratio", _joined(F.col("v.failure_reasons")).alias("reasons"),
         F.size("v.warnings").alias("n_warnings"),
@@ -213,24 +217,24 @@ def validate_empty(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def validate_short(spark: SparkSession, sf: str) -> DataFrame:
-    judged = inputs.texts(spark, sf).withColumn("v", V.validate(F.col("text"), F.lit(None).cast("bigint")))
+    judged = inputs.texts(spark, sf).withColumn("v", V.validate("text", "cast(NULL AS bigint)"))
     short = F.filter("v.failure_reasons", lambda r: F.startswith(r, F.lit("char_count")))
     return judged.select("doc_id", F.get(short, F.lit(0)).alias("reason"))
 
 
 def validate_warnings(spark: SparkSession, sf: str) -> DataFrame:
-    judged = _cleaned(spark, sf).withColumn("v", V.validate(F.col("clean_md"), F.col("size")))
+    judged = _cleaned(spark, sf).withColumn("v", V.validate("clean_md", "size"))
     return judged.select("conv_id", "turn", _joined(F.col("v.warnings")).alias("warnings"))
 
 
 def validate_all(spark: SparkSession, sf: str) -> DataFrame:
-    clean = inputs.texts(spark, sf).select("doc_id", "size", N.normalize(F.col("text")).alias("clean_md"))
-    judged = clean.withColumn("v", V.validate(F.col("clean_md"), F.col("size")))
+    clean = inputs.texts(spark, sf).select("doc_id", "size", N.normalize("text").alias("clean_md"))
+    judged = clean.withColumn("v", V.validate("clean_md", "size"))
     return judged.select("doc_id", *_flat_validation("v"))
 
 
 def validate_markdown(spark: SparkSession, sf: str) -> DataFrame:
-    judged = _cleaned(spark, sf).withColumn("v", V.validate(F.col("clean_md"), F.col("size")))
+    judged = _cleaned(spark, sf).withColumn("v", V.validate("clean_md", "size"))
     return judged.select("conv_id", "turn", *_flat_validation("v"))
 
 
@@ -264,13 +268,12 @@ def attempts(spark: SparkSession, sf: str) -> DataFrame:
     first = F.array_position(F.array(*map(F.lit, chain)), F.col("mode")).cast("int") - 1
     rows = inputs.tier_files(spark, sf).select("path", "size", first.alias("first"), F.explode(tried).alias("t"))
     rows = rows.filter(F.col("t.at") >= F.col("first"))
-    clean = N.normalize(F.col("t.x.raw_md"), settings.normalization)
-    judged = rows.withColumn("clean_md", clean)
+    judged = rows.withColumn("clean_md", N.normalize("t.x.raw_md", settings.normalization))
     return judged.select(
         "path",
         (F.col("t.at") - F.col("first")).alias("attempt"),
         "t.mode",
-        V.validate(F.col("clean_md"), F.col("size"), settings.validation).alias("validation"),
+        V.validate("clean_md", "size", settings.validation).alias("validation"),
         F.col("t.x.extract_error").alias("error"),
     )
 
@@ -376,13 +379,13 @@ QUERIES: dict[str, Query] = {
     "extract_csv": extract_csv,
     "ocr_lines_to_md": ocr_lines_to_md,
     "extract_errors": extract_errors,
-    "protect_code": _step(lambda raw: N.protect_code(raw, N.code_blocks(raw))),
+    "protect_code": protect_code,
     "strip_trailing": _step(N.strip_trailing),
     "collapse_blank": _step(N.collapse_newlines),
     "unify_bullets": _step(N.unify_bullets),
     "drop_empty_headings": _step(N.drop_empty_headings),
     "collapse_repeats": _step(N.collapse_repeats),
-    "strip_doc": _step(strip),
+    "strip_doc": _step(N.strip_document),
     "restore_code": restore_code,
     "normalize_all": normalize_all,
     "normalize_markdown": _step(N.normalize),

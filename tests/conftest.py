@@ -33,14 +33,12 @@ def spark(tmp_path_factory):
 
 @pytest.fixture(scope="session")
 def evaluate(spark):
-    """Apply a column function to a list of strings and return the results in order."""
-    from pyspark.sql import functions as F
+    """Apply a function of column names to a list of values and return the results in order."""
 
     def run(function, values, schema="text string"):
         rows = [(i, *(v if isinstance(v, tuple) else (v,))) for i, v in enumerate(values)]
         df = spark.createDataFrame(rows, f"i int, {schema}")
-        args = [F.col(name) for name in df.columns[1:]]
-        found = df.select("i", function(*args).alias("out")).collect()
+        found = df.select("i", function(*df.columns[1:]).alias("out")).collect()
         return [r.out for r in sorted(found, key=lambda r: r.i)]
 
     return run

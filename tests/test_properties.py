@@ -2,8 +2,6 @@
 
 import random
 
-from pyspark.sql import functions as F
-
 from inkmill.functions import normalize as N
 from inkmill.functions import validate as V
 from inkmill.settings import Normalization, Validation
@@ -81,8 +79,8 @@ def test_long_lines_stay_exact(evaluate):
     rng = random.Random(6)
     words = ["".join(rng.choice("abcdefgh") for _ in range(rng.randint(2, 7))) for _ in range(300)]
     sentence = " ".join(rng.choice(words) for _ in range(40))
-    prose = [" ".join(rng.choice(words) for _ in range(2000)) for _ in range(4)]
-    dense = ["".join(rng.choice("αβγδε😀") for _ in range(3000)) for _ in range(4)]
+    prose = [" ".join(rng.choice(words) for _ in range(700)) for _ in range(2)]
+    dense = ["".join(rng.choice("αβγδε😀") for _ in range(1500)) for _ in range(2)]
     block = "".join(rng.choice("αβγδε😀") for _ in range(70))
     texts = prose + dense
     texts += [p + " " + (sentence + " ") * 5 + p for p in prose] + [p + (sentence + " ") * 4 + p for p in prose]
@@ -95,8 +93,8 @@ def test_long_lines_stay_exact(evaluate):
 def test_documents_table(spark):
     rows = (
         spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
-        .select("text", N.normalize(F.col("text")).alias("clean"))
-        .select("text", "clean", V.repeated_lines(F.col("clean")).alias("lines"))
+        .select("text", N.normalize("text").alias("clean"))
+        .select("text", "clean", V.repeated_lines("clean").alias("lines"))
         .collect()
     )
     assert [r.clean for r in rows] == [E.normalized(r.text) for r in rows]
