@@ -12,7 +12,7 @@ from inkmill.functions.text import strip
 # Fixed values: (pattern, replacement) in order of application. Removing whole elements comes first, so that nothing
 # inside a script or comment is taken for a tag.
 HTML_RULES = (
-    (r"(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>", ""),
+    (r"(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>|<title\b.*?</title\s*>", ""),
     (r"(?is)<head\b.*?</head\s*>", ""),
     (r"(?i)<h1\b[^>]*>", "\n\n# "),
     (r"(?i)<h2\b[^>]*>", "\n\n## "),

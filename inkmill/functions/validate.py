@@ -105,7 +105,22 @@ def _failure_reasons(count: str, repeated: str, ratio: str, options: Validation)
 
 
 def _four_digits(ratio: str) -> str:
-    return f"format_string('%.4f', {ratio})"
+    """The ratio with four decimals, rounded from its exact binary value, half to even.
+
+    Java's formatter rounds the shortest decimal form half up, which differs only where that form ends in a 5 at the
+    fifth decimal (t hundred-thousandths). There, m / 2^k, the exact value, is compared with t / 100000 in integers.
+    """
+    two_to_k = "cast(shiftleft(1L, k DIV 2) AS decimal(19,0)) * cast(shiftleft(1L, k - k DIV 2) AS decimal(19,0))"
+    m, middle = f"cast(cast({ratio} * pow(2, k) AS bigint) AS decimal(19,0)) * 100000", f"cast(t AS decimal(18,0)) * {two_to_k}"
+    downwards = let(
+        "k", f"cast(54 - floor(log2({ratio})) AS int)", f"{m} < {middle} OR ({m} = {middle} AND (t DIV 10) % 2 = 0)"
+    )
+    cut = "concat(t DIV 100000, '.', lpad(cast((t DIV 10) % 10000 AS string), 4, '0'))"
+    return let(
+        "t",
+        f"cast(round({ratio} * 100000) AS bigint)",
+        f"CASE WHEN t % 10 = 5 AND t / 100000 = {ratio} AND {downwards} THEN {cut} ELSE format_string('%.4f', {ratio}) END",
+    )
 
 
 def char_count(text: str) -> Column:

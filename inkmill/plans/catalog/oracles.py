@@ -65,7 +65,7 @@ def _entities(text: str) -> str:
 
 def _html(text: str) -> str:
     steps = [
-        (r"(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>", "''"),
+        (r"(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>|<title\b.*?</title\s*>", "''"),
         (r"(?is)<head\b.*?</head\s*>", "''"),
     ]
     steps += [(rf"(?i)<h{n}\b[^>]*>", f"chr(10) || chr(10) || '{'#' * n} '") for n in range(1, 7)]

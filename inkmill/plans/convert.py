@@ -36,23 +36,31 @@ def convert(
     name with all others of their stem: the lowest path is converted and the others are skipped, unless forced.
     """
     routed = route(docs, settings.modes, forced_mode)
-    skip = F.lit(False)
-    if not force and key == "stem":
-        # Documents nobody can route never get an output, so they do not claim the name.
-        routed = _claim_stems(routed)
-        skip = skip | ~F.col("is_first")
-    if not force and existing is not None:
-        routed = flag_existing(routed, existing, key)
-        skip = skip | F.col("has_output")
-    flagged = routed.withColumn("skip", skip & (F.col("mode") != UNKNOWN)).drop("is_first", "has_output")
-    return outcome(escalate(flagged, settings, extractors))
-
-
-def _claim_stems(routed: DataFrame) -> DataFrame:
-    """Add `is_first` among the documents that have a mode; the flag is computed on key columns only."""
+    if force:
+        marked = routed.withColumn("skip", F.lit(False))
+    elif key == "stem":
+        marked = routed.join(_taken_stems(routed, existing), "path", "left")
+    elif existing is not None:
+        marked = flag_existing(routed, existing).withColumnRenamed("has_output", "skip")
+    else:
+        marked = routed.withColumn("skip", F.lit(False))
+    # Documents nobody can route are reported as such, whatever was written before.
+    skip = F.coalesce("skip", F.lit(False)) & (F.col("mode") != UNKNOWN)
+    return outcome(escalate(marked.withColumn("skip", skip), settings, extractors))
+
+
+def _taken_stems(routed: DataFrame, existing: DataFrame | None) -> DataFrame:
+    """Paths whose output name belongs to another document or an earlier run.
+
+    Decided on key columns alone, so that the documents themselves take part in one join only. Documents nobody can
+    route never get an output and do not claim the name.
+    """
     claims = first_of_stem(routed.filter(F.col("mode") != UNKNOWN).select("path", "stem"))
-    joined = routed.join(claims.select("path", "is_first"), "path", "left")
-    return joined.withColumn("is_first", F.coalesce("is_first", F.lit(False)))
+    taken = ~F.col("is_first")
+    if existing is not None:
+        claims = flag_existing(claims, existing, "stem")
+        taken = taken | F.col("has_output")
+    return claims.filter(taken).select("path", F.lit(True).alias("skip"))
 
 
 @dataclass(frozen=True)

@@ -18,7 +18,7 @@ def discover(spark: SparkSession, folder: str, recursive: bool = False) -> DataF
     files = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", str(recursive).lower())
-        .load(folder if recursive else f"{folder.rstrip('/')}/*")
+        .load(folder)
         .select("path", F.col("length").alias("size"), "content")
     )
     return (
