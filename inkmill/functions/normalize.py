@@ -95,12 +95,19 @@ def _longest_recurring_prefix(line: str) -> str:
 
 
 def _collapse_line(line: str) -> str:
-    shorter = f"concat(left(s.line, p - 1 + n), substring(s.line, p + {MIN_TOKEN_REPEATS} * n))"
-    replaced = let("cut", shorter, f"named_struct('line', cut, 'cap', {_longest_recurring_prefix('cut')})")
-    at = f"instr(s.line, repeat(left(s.line, n), {MIN_TOKEN_REPEATS}))"
-    attempt = f"CASE WHEN n > s.cap THEN s ELSE {let('p', at, f'CASE WHEN p = 0 THEN s ELSE {replaced} END')} END"
-    from_longest = f"""aggregate(sequence(cap, {MIN_TOKEN_LENGTH}, -1), named_struct('line', {line}, 'cap', cap),
-        (s, n) -> {attempt}, s -> s.line)"""
+    # A step copies its state, so that holds the places cut out so far and not the line.
+    current = f"aggregate(s.cuts, {line}, (x, cut) -> concat(left(x, cut.p), substring(x, cut.q)))"
+    cut = f"named_struct('p', p - 1 + n, 'q', p + {MIN_TOKEN_REPEATS} * n)"
+    replaced = let(
+        "shorter",
+        f"concat(left(now, p - 1 + n), substring(now, p + {MIN_TOKEN_REPEATS} * n))",
+        f"named_struct('cap', {_longest_recurring_prefix('shorter')}, 'cuts', array_append(s.cuts, {cut}))",
+    )
+    at = f"instr(now, repeat(left(now, n), {MIN_TOKEN_REPEATS}))"
+    attempt = let("now", current, let("p", at, f"CASE WHEN p = 0 THEN s ELSE {replaced} END"))
+    start = "named_struct('cap', cap, 'cuts', cast(array() AS array<struct<p:int,q:int>>))"
+    from_longest = f"""aggregate(sequence(cap, {MIN_TOKEN_LENGTH}, -1), {start},
+        (s, n) -> CASE WHEN n > s.cap THEN s ELSE {attempt} END, s -> {current})"""
     # Nearly every line stops at these two tests.
     return f"""CASE WHEN octet_length({line}) >= {MIN_TOKEN_LENGTH * MIN_TOKEN_REPEATS}
             AND position(left({line}, {MIN_TOKEN_LENGTH}), {line}, {2 * MIN_TOKEN_LENGTH + 1}) > 0
