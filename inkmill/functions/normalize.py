@@ -36,7 +36,16 @@ def _interleave(pieces: str, between: str) -> str:
 
 
 def _code_blocks(text: str) -> str:
-    return f"""CASE WHEN contains({text}, '```') OR contains({text}, '~~~')
+    # Without a fence, a line feed after it and a second fence after that, no block exists and the pattern, which would
+    # try every fence to the end of the text, is not run.
+    closed = [
+        f"""exists(array(instr({text}, '{fence}')), opening -> opening > 0
+            AND exists(array(position('
+', {text}, opening + 3)), feed -> feed > 0
+            AND position('{fence}', {text}, feed + 1) > 0))"""
+        for fence in ("```", "~~~")
+    ]
+    return f"""CASE WHEN {' OR '.join(closed)}
         THEN regexp_extract_all({text}, r'{FENCED_BLOCK}', 0) ELSE cast(array() AS array<string>) END"""
 
 

@@ -2,17 +2,26 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+
+
+def staging_folder(spark: SparkSession) -> str:
+    """The folder named by the cluster. Only a local session, which has a single machine, may do without one."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+        folder = tempfile.mkdtemp(prefix="inkmill-")
+        spark.conf.set("spark.checkpoint.dir", folder)
+    return folder.rstrip("/")
 
 
 def staged(df: DataFrame) -> DataFrame:
     """Write once, read back: cuts the lineage, survives lost executors, and later reads only touch the columns they need."""
     spark = df.sparkSession
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    target = f"{folder.rstrip('/')}/inkmill-{uuid.uuid4().hex}"
+    target = f"{staging_folder(spark)}/inkmill-{uuid.uuid4().hex}"
     df.write.parquet(target)
     return spark.read.schema(df.schema).parquet(target)
