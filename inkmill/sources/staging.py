@@ -2,20 +2,25 @@
 
 from __future__ import annotations
 
+import functools
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+@functools.cache
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="inkmill-")
+
+
 def staging_folder(spark: SparkSession) -> str:
     """The folder named by the cluster. Only a local session, which has a single machine, may do without one."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        folder = tempfile.mkdtemp(prefix="inkmill-")
-        spark.conf.set("spark.checkpoint.dir", folder)
+        folder = _local_folder()
     return folder.rstrip("/")
 
 

@@ -13,7 +13,7 @@ SF_DIR = "/root/testdata/sf0.001"
 
 
 @pytest.fixture(scope="session")
-def spark(tmp_path_factory):
+def spark():
     builder = (
         SparkSession.builder.master("local[*]")
         .appName("inkmill-tests")
@@ -25,8 +25,6 @@ def spark(tmp_path_factory):
     )
     session = builder.getOrCreate()
     session.sparkContext.setLogLevel("ERROR")
-    if not session.conf.get("spark.checkpoint.dir", None):
-        session.conf.set("spark.checkpoint.dir", str(tmp_path_factory.mktemp("checkpoints")))
     yield session
     session.stop()
 
