@@ -2,16 +2,21 @@
 
 from __future__ import annotations
 
-from inkmill.llm import hosts, mixing, rules
+from inkmill.llm import bpe, hosts, licenses, lines, mixing, rules
 
 QUERIES = {
     "op1_mix": mixing.query,
     "op2_quality_rules": rules.query,
+    "op3_license_scan": licenses.query,
+    "op6_line_dedup": lines.query,
+    "op7_bpe": bpe.query,
     "op10_url_filter": hosts.query,
 }
 
 ORACLES = {
     "op1_mix": mixing.ORACLE,
     "op2_quality_rules": rules.ORACLE,
+    "op3_license_scan": licenses.ORACLE,
+    "op6_line_dedup": lines.ORACLE,
     "op10_url_filter": hosts.ORACLE,
 }
