@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from inkmill.llm import bpe, hosts, licenses, lines, mixing, rules
+from inkmill.llm import balltree, bpe, hosts, jaccard, licenses, lines, mixing, rules
 
 QUERIES = {
     "op1_mix": mixing.query,
     "op2_quality_rules": rules.query,
     "op3_license_scan": licenses.query,
+    "op4_topk": balltree.query,
+    "op5_jaccard_join": jaccard.query,
     "op6_line_dedup": lines.query,
     "op7_bpe": bpe.query,
     "op10_url_filter": hosts.query,
@@ -17,6 +19,7 @@ ORACLES = {
     "op1_mix": mixing.ORACLE,
     "op2_quality_rules": rules.ORACLE,
     "op3_license_scan": licenses.ORACLE,
+    "op4_topk": balltree.ORACLE,
     "op6_line_dedup": lines.ORACLE,
     "op10_url_filter": hosts.ORACLE,
 }
