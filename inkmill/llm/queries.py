@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from inkmill.llm import balltree, bpe, hosts, jaccard, licenses, lines, mixing, rules
+from inkmill.llm import balltree, bpe, hosts, jaccard, licenses, lines, mixing, passages, rules, suffixes
 
 QUERIES = {
     "op1_mix": mixing.query,
@@ -12,6 +12,8 @@ QUERIES = {
     "op5_jaccard_join": jaccard.query,
     "op6_line_dedup": lines.query,
     "op7_bpe": bpe.query,
+    "op8_passages": passages.query,
+    "op9_suffix_dedup": suffixes.query,
     "op10_url_filter": hosts.query,
 }
 
