@@ -141,8 +141,9 @@ def ablation(entries: DataFrame, policy: Policy) -> DataFrame:
 
 def passing(docs: DataFrame, policy: Policy = STRICT) -> DataFrame:
     """The rows of `docs` that the policy keeps, with their own columns."""
-    judged = _with_bits(packed(docs, t=whole_text()))
-    return judged.filter(F.col("failed_bits").bitwiseAND(F.lit(policy.mask)) == 0).select("row.*")
+    judged = _with_bits(packed(docs, t=whole_text())).select("row", "failed_bits", F.monotonically_increasing_id().alias("n"))
+    # The row number keeps the filter above the measurements; pushed below them, it would repeat them many times over.
+    return judged.filter((F.col("failed_bits").bitwiseAND(F.lit(policy.mask)) == 0) & (F.col("n") >= 0)).select("row.*")
 
 
 def query(spark, folder):
