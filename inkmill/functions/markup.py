@@ -72,7 +72,7 @@ def html_title(html: Column) -> Column:
 
 
 def csv_to_markdown(text: Column) -> Column:
-    """A Markdown table: the first record is the header and sets the width of the others. Blank records are left out."""
+    """A Markdown table: the first record is the header, the widest one sets the width. Blank records are left out."""
 
     def table(tokens: Column) -> Column:
         def content(token: Column) -> Column:
@@ -103,7 +103,7 @@ def csv_to_markdown(text: Column) -> Column:
         return _let(F.struct(cells.alias("cells"), ends.alias("ends")), assemble)
 
     def render(records: Column) -> Column:
-        width = F.size(F.get(records, F.lit(0)))
+        width = F.coalesce(F.array_max(F.transform(records, F.size)), F.lit(0))
 
         def row(r: Column) -> Column:
             full = F.slice(F.concat(r, F.array_repeat(F.lit(""), width)), F.lit(1), width)

@@ -55,8 +55,10 @@ def _periodic(units: str, separator: str, options: Validation) -> str:
     stretch = f"exists(array(split({window}, '')), c -> {overlap} > 0 AND {run})"
     token = f"length(array_join(slice({units}, at + 1, k), '{separator}')) + {len(separator)}"
     inner = f"{copies - 2} * k"
-    confirmed = f"""exists(array({token}), token -> token >= {shortest}
-        AND slice({units}, at + 1, {inner}) = slice({units}, at + k + 1, {inner}) AND {stretch})"""
+    # A few units settle most cases before whole blocks are compared.
+    near = f"forall(sequence(0, least(32, {inner}) - 1), d -> get({units}, at + d) = get({units}, at + k + d)) AND" if copies > 2 else ""
+    confirmed = f"""exists(array({token}), token -> token >= {shortest} AND {near}
+        slice({units}, at + 1, {inner}) = slice({units}, at + k + 1, {inner}) AND {stretch})"""
 
     anchors = [f"get({units}, at + {i} * k) = get({units}, at + {i + 1} * k)" for i in range(whole - 1)]
     # The first comparison settles nearly all cases, so it is kept as short as can be.

@@ -13,10 +13,10 @@ from pyspark.sql import functions as F
 from inkmill.functions.normalize import normalize
 from inkmill.functions.validate import RESULT_TYPE as VALIDATION_TYPE
 from inkmill.functions.validate import validate
-from inkmill.operators.extraction import RESULT_TYPE, Extractors, PythonExtractor, Unavailable
+from inkmill.operators.extraction import Extractors, PythonExtractor, Unavailable
 from inkmill.operators.routing import UNKNOWN, lookup, unsupported_reason
+from inkmill.operators.selection import where
 from inkmill.settings import Settings
-from inkmill.sources.staging import staged
 
 
 _STATE = ("try_mode", "escalated_to", "retry_count", "raw_md", "title", "clean_md", "validation", "last_error")
@@ -83,18 +83,6 @@ def _refuse(df: DataFrame, active: Column, error: str, moved: Column) -> DataFra
     )
 
 
-def _with_engine(df: DataFrame, active: Column, extractor: PythonExtractor) -> DataFrame:
-    """Add the engine's answers for the active rows as `extracted`.
-
-    The rows are written once to the shared staging folder, so nothing before this point runs twice. Only the active
-    ones then go through Python, and the two parts are put together again without a join.
-    """
-    held = staged(df)
-    answered = extractor(held.filter(active))
-    untouched = held.filter(~active).withColumn("extracted", F.lit(None).cast(RESULT_TYPE))
-    return untouched.unionByName(answered)
-
-
 def escalate(df: DataFrame, settings: Settings = Settings(), extractors: Extractors = Extractors()) -> DataFrame:
     """Convert routed documents (path, ext, size, text, mode, skip and whatever the extractors read).
 
@@ -124,8 +112,7 @@ def escalate(df: DataFrame, settings: Settings = Settings(), extractors: Extract
         if isinstance(extractor, Unavailable):
             df = _refuse(df, active, extractor.error, moved)
         elif isinstance(extractor, PythonExtractor):
-            answered = _with_engine(df, active, extractor)
-            df = _attempt(answered, active, F.col("extracted"), moved, cleaned, judged).drop("extracted")
+            df = _attempt(df, active, extractor(active), moved, cleaned, judged)
         else:
             df = _attempt(df, active, extractor(), moved, cleaned, judged)
     return df
@@ -173,7 +160,7 @@ def attempt_summary(attempts: DataFrame) -> DataFrame:
 
 def quarantine(converted: DataFrame) -> DataFrame:
     """Failed documents with their payload and reasons."""
-    return converted.filter(F.col("status") == "failed").select(
+    return where(converted, F.col("status") == "failed").select(
         F.col("name").alias("input_file"),
         "path",
         *[c for c in ("text", "content") if c in converted.columns],

@@ -2,7 +2,7 @@
 
 An extraction mode is served by one of two kinds of extractor. A column extractor is an expression and runs in the same
 stage as everything else. A Python extractor wraps a user's engine (an OCR model, an office-format decoder, a remote
-service) in `mapInArrow`; only the rows that reached its mode are sent to Python.
+service) in an Arrow function; only what it reads, of the rows that reached its mode, is sent to Python.
 """
 
 from __future__ import annotations
@@ -13,7 +13,6 @@ from dataclasses import dataclass, field
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
 
 from inkmill.functions import markup, sniff
 
@@ -66,34 +65,51 @@ def recognised() -> Column:
 class PythonExtractor:
     """`factory()` builds an engine once per partition; `engine(row_dict)` returns (text, title) or raises.
 
-    `inputs` names the columns the engine reads. The other columns travel along as Arrow data and are not converted.
+    Only the columns named in `inputs` go to Python, of the active rows; everything else stays where it is. An engine that
+    cannot be built, raises, or answers with something other than text, is an error of the document.
     """
 
     factory: Callable[[], Callable[[dict], tuple[str | None, str | None]]]
     inputs: tuple[str, ...] = ("path", "text")
 
-    def __call__(self, df: DataFrame) -> DataFrame:
-        """Add `extracted`, a struct of raw_md, title and extract_error."""
-        factory, inputs = self.factory, list(self.inputs)
-        names = ["raw_md", "title", "extract_error"]
+    def __call__(self, active: Column | None = None) -> Column:
+        """A struct of raw_md, title and extract_error; null where not active."""
+        factory = self.factory
 
-        def attempt(engine, row: dict) -> tuple[str | None, str | None, str | None]:
+        def attempt(engine, row: dict) -> dict:
             try:
                 text, title = engine(row)
-                return text or "", title, None
+                for value in (text, title):
+                    if value is not None and not isinstance(value, str):
+                        raise TypeError(f"extractor answered with {type(value).__name__} instead of text")
+                return {"raw_md": text or "", "title": title, "extract_error": None}
             except Exception as e:  # a broken document must not stop the job
-                return None, None, str(e)
+                return {"raw_md": None, "title": None, "extract_error": str(e) or type(e).__name__}
 
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            engine = factory()
+        def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+            engine = None
             for batch in batches:
-                answers = [attempt(engine, row) for row in batch.select(inputs).to_pylist()]
-                columns = [pa.array([a[i] for a in answers], pa.string()) for i in range(3)]
-                result = pa.StructArray.from_arrays(columns, names)
-                yield pa.RecordBatch.from_arrays([*batch.columns, result], [*batch.schema.names, "extracted"])
+                if engine is None:
+                    try:
+                        engine = factory()
+                    except Exception as e:
+                        engine = _raising(e)
+                rows = batch.to_pylist()
+                yield pa.array([None if row is None else attempt(engine, row) for row in rows], _ANSWER)
 
-        result_type = StructType([StructField(n, StringType()) for n in names])
-        return df.mapInArrow(run, StructType([*df.schema.fields, StructField("extracted", result_type)]))
+        row = F.struct(*[F.col(name) for name in self.inputs])
+        wanted = row if active is None else F.when(active, row)
+        return F.arrow_udf(run, RESULT_TYPE).asNondeterministic()(wanted)
+
+
+_ANSWER = pa.struct([("raw_md", pa.string()), ("title", pa.string()), ("extract_error", pa.string())])
+
+
+def _raising(error: Exception) -> Callable[[dict], tuple[str | None, str | None]]:
+    def engine(row: dict) -> tuple[str | None, str | None]:
+        raise error
+
+    return engine
 
 
 @dataclass(frozen=True)
@@ -125,5 +141,4 @@ class Extractors:
 
 def extract(df: DataFrame, extractor: Extractor) -> DataFrame:
     """Stand-alone extraction: adds raw_md, title and extract_error."""
-    found = extractor(df) if isinstance(extractor, PythonExtractor) else df.withColumn("extracted", extractor())
-    return found.select(*df.columns, "extracted.*")
+    return df.withColumn("extracted", extractor()).select(*df.columns, "extracted.*")

@@ -5,12 +5,18 @@ Both operators work on narrow key columns, balance hot stems, and return their i
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 SALTS = 32
 
 
+def where(df: DataFrame, condition: Column) -> DataFrame:
+    """Filter by a result of long expressions. The row number keeps the filter above them; pushed below, it would repeat
+    them many times over."""
+    return df.withColumn("_row", F.monotonically_increasing_id()).filter(condition & (F.col("_row") >= 0)).drop("_row")
+
+
 def first_of_stem(df: DataFrame) -> DataFrame:
     """Add `is_first`: the document has the lowest path among those with its stem.
 

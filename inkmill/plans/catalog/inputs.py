@@ -6,9 +6,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from inkmill.functions import markup
-from inkmill.operators.extraction import Extractors, extracted, failed
+from inkmill.operators.extraction import Extractors, extracted
 from inkmill.settings import Modes, Settings, Validation
-from inkmill.sources.tables import documents, spread, table, with_path_parts
+from inkmill.sources.tables import documents, table, with_path_parts
 
 # Fixed values shared with the SQL side.
 FILE_EXTENSIONS = (".html", ".PDF", ".csv", ".jpg", ".tif", ".xyz", "", ".md", ".json", ".docx")
@@ -22,18 +22,18 @@ def _text(*parts: Column | str) -> Column:
 
 def texts(spark: SparkSession, sf: str) -> DataFrame:
     """documents: doc_id, text and its size."""
-    return spread(table(spark, sf, "documents", "doc_id", "text")).withColumn("size", F.octet_length("text").cast("bigint"))
+    return table(spark, sf, "documents", "doc_id", "text").withColumn("size", F.octet_length("text").cast("bigint"))
 
 
 def document_files(spark: SparkSession, sf: str) -> DataFrame:
     """documents as text files."""
-    rows = spread(table(spark, sf, "documents", "doc_id", "text", "source"))
+    rows = table(spark, sf, "documents", "doc_id", "text", "source")
     return documents(rows, _text("/docs/", F.col("source"), "/", F.col("doc_id"), ".txt"), F.col("text"))
 
 
 def markdown(spark: SparkSession, sf: str) -> DataFrame:
     """conversations as Markdown that needs every normalization rule."""
-    rows = spread(table(spark, sf, "conversations", "conv_id", "turn", "role", "text"))
+    rows = table(spark, sf, "conversations", "conv_id", "turn", "role", "text")
     turn, role, text = F.col("turn"), F.col("role"), F.col("text")
     raw = _text(
         "# Turn ", turn, "  \n\n\n\n##\n* ", F.replace(text, F.lit("\n"), F.lit("\n+ ")), " \t\n",
@@ -48,17 +48,22 @@ def markdown(spark: SparkSession, sf: str) -> DataFrame:
 
 def files(spark: SparkSession, sf: str) -> DataFrame:
     """pages as files of ten kinds, three files to a stem."""
-    rows = spread(table(spark, sf, "pages", "page_id", "url", "html"))
+    rows = table(spark, sf, "pages", "page_id", "url", "html")
     page, url = F.col("page_id"), F.col("url")
     ext = F.element_at(F.array(*map(F.lit, FILE_EXTENSIONS)), (page % 10 + 1).cast("int"))
     path = _text("/in/", page % 7, "/doc", F.floor(page / 3), ext)
+    html = F.col("html")
+    quoted, escaped = F.replace(html, F.lit('"'), F.lit('""')), html
+    for a, b in ("\\", "\\\\"), ('"', '\\"'), ("\n", "\\n"), ("\t", "\\t"):
+        escaped = F.replace(escaped, F.lit(a), F.lit(b))
+    # Every format holds the whole page; one page in twenty is an empty file.
     text = (
         F.when(page % 20 == 5, F.lit(""))
-        .when(page % 20 == 6, url)
-        .when(page % 10 == 2, _text('url,id,note\n"', url, '",', page, '\n\n"a ""b"" | c\nd"\n'))
-        .when(page % 10 == 7, _text("# ", url, "\n\n* first\n+ second  \n"))
-        .when(page % 10 == 8, _text('{"id": ', page, ', "url": "', url, '"}'))
-        .otherwise(F.col("html"))
+        .when(page % 20 == 6, _text(url, "\n", html))
+        .when(page % 10 == 2, _text('url,id,note\n"', url, '",', page, '\n\n"a ""b"" | c\nd",,,"', quoted, '"\n'))
+        .when(page % 10 == 7, _text("# ", url, "\n\n* first\n+ second  \n", html))
+        .when(page % 10 == 8, _text('{"id": ', page, ', "url": "', url, '", "html": "', escaped, '"}'))
+        .otherwise(html)
     )
     return with_path_parts(rows.select("page_id", path.alias("path"), text.alias("text"))).withColumn(
         "size", F.octet_length("text").cast("bigint")
@@ -72,7 +77,7 @@ def converted_before(spark: SparkSession, sf: str) -> DataFrame:
 
 def tier_files(spark: SparkSession, sf: str) -> DataFrame:
     """pages as files with a mode to start from."""
-    rows = spread(table(spark, sf, "pages", "page_id", "url", "html"))
+    rows = table(spark, sf, "pages", "page_id", "url", "html")
     page = F.col("page_id")
     shaped = documents(rows, _text("/tiers/", page, ".htm"), F.col("html"))
     return shaped.withColumns(
@@ -85,34 +90,33 @@ def tier_settings() -> Settings:
 
 
 def tier_modes() -> dict[str, Column]:
-    """What each mode gets out of a page: title, an error or the first paragraph, everything, or nothing."""
+    """What each mode takes from a page: its paragraphs, headings too, all visible text, or an error for want of an engine."""
     text = F.col("text")
-    paragraph = F.regexp_extract(text, r"(?is)<p>(.*?)</p>", 1)
+    headings = F.regexp_extract_all(text, F.lit(r"(?is)<h[1-6]\b[^>]*>(.*?)</h[1-6]\s*>"), F.lit(1))
+    paragraphs = F.regexp_extract_all(text, F.lit(r"(?is)<p>(.*?)</p>"), F.lit(1))
     return {
-        "standard": extracted(markup.html_title(text)),
-        "paddle_ocr": F.when(F.contains(text, F.lit("example.net")), failed(F.lit("engine gave up"))).otherwise(
-            extracted(paragraph)
-        ),
+        "standard": extracted(F.array_join(paragraphs, "\n\n")),
+        "paddle_ocr": extracted(F.array_join(F.concat(headings, paragraphs), "\n\n")),
         "ocr": extracted(markup.html_to_markdown(text), markup.html_title(text)),
-        "high_accuracy": extracted(F.when(F.length("text") % 2 == 0, F.lit("")).otherwise(text)),
+        "high_accuracy": Extractors().get("high_accuracy")(),
     }
 
 
 def tier_extractors() -> Extractors:
-    return Extractors({mode: (lambda result=result: result) for mode, result in tier_modes().items()})
+    return Extractors({mode: (lambda result=result: result) for mode, result in tier_modes().items() if mode != "high_accuracy"})
 
 
 def csv_files(spark: SparkSession, sf: str) -> DataFrame:
     """conversations as two-record CSV files with quotes, commas and line feeds inside cells."""
-    rows = spread(table(spark, sf, "conversations", "conv_id", "turn", "role", "text"))
+    rows = table(spark, sf, "conversations", "conv_id", "turn", "role", "text")
     quoted = F.replace(F.col("text"), F.lit("é"), F.lit('""'))
-    content = _text("turn,role,text,extra\n", F.col("turn"), ",", F.col("role"), ',"', quoted, '"\n', F.col("turn"), ',"a|b",,,lost')
+    content = _text("turn,role,text\n", F.col("turn"), ",", F.col("role"), ',"', quoted, '"\n', F.col("turn"), ',"a|b",,kept')
     return rows.select("conv_id", "turn", content.alias("text"))
 
 
 def ocr_files(spark: SparkSession, sf: str) -> DataFrame:
     """conversations as recognised pages: paragraphs are pages, sentences are lines, some of them malformed or blank."""
-    rows = spread(table(spark, sf, "conversations", "conv_id", "turn", "text"))
+    rows = table(spark, sf, "conversations", "conv_id", "turn", "text")
     box = F.lit(None).cast("array<array<double>>")
 
     def line(text: Column) -> Column:

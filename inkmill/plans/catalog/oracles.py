@@ -13,6 +13,9 @@ FENCE = r"(?s)```[^\n]*\n.*?```|~~~[^\n]*\n.*?~~~"
 REPEATED = "repetition detected: same 10+ char string repeated 5+ times"
 
 
+NO_ENGINE = "no extractor registered for mode ''high_accuracy''"
+
+
 def _with(*ctes: str, select: str) -> str:
     return "WITH " + ",\n".join(ctes) + "\n" + select
 
@@ -30,15 +33,20 @@ FROM (SELECT conv_id, turn,
 FILES = """files0 AS (SELECT page_id, url, html,
   ['.html', '.PDF', '.csv', '.jpg', '.tif', '.xyz', '', '.md', '.json', '.docx'][page_id % 10 + 1] AS suffix,
   page_id // 3 AS serial FROM pages),
-files1 AS (SELECT page_id, 'doc' || serial AS stem, suffix, lower(suffix) AS ext, 'doc' || serial || suffix AS name,
+files1 AS (SELECT page_id, html, 'doc' || serial AS stem, suffix, lower(suffix) AS ext, 'doc' || serial || suffix AS name,
   '/in/' || page_id % 7 || '/doc' || serial || suffix AS path,
-  CASE WHEN page_id % 20 = 5 THEN '' WHEN page_id % 20 = 6 THEN url
-    WHEN page_id % 10 = 2 THEN 'url,id,note' || chr(10) || '"' || url || '",' || page_id || chr(10) || chr(10) || '"a ""b"" | c' || chr(10) || 'd"' || chr(10)
-    WHEN page_id % 10 = 7 THEN '# ' || url || chr(10) || chr(10) || '* first' || chr(10) || '+ second  ' || chr(10)
-    WHEN page_id % 10 = 8 THEN '{"id": ' || page_id || ', "url": "' || url || '"}'
+  CASE WHEN page_id % 20 = 5 THEN '' WHEN page_id % 20 = 6 THEN url || chr(10) || html
+    WHEN page_id % 10 = 2 THEN 'url,id,note' || chr(10) || '"' || url || '",' || page_id || chr(10) || chr(10) || '"a ""b"" | c' || chr(10) || 'd",,,"' || replace(html, '"', '""') || '"' || chr(10)
+    WHEN page_id % 10 = 7 THEN '# ' || url || chr(10) || chr(10) || '* first' || chr(10) || '+ second  ' || chr(10) || html
+    WHEN page_id % 10 = 8 THEN '{"id": ' || page_id || ', "url": "' || url || '", "html": "'
+      || replace(replace(replace(replace(html, '\\', '\\\\'), '"', '\\"'), chr(10), '\\n'), chr(9), '\\t') || '"}'
     ELSE html END AS text, url FROM files0),
 files AS (SELECT *, strlen(text)::bigint AS size FROM files1)"""
 
+# The known cells of the CSV files; the last record is the widest.
+CSV_PAGE = r"""'| url | id | note |  |' || chr(10) || '| --- | --- | --- | --- |' || chr(10) || '| ' || url || ' | ' || page_id || ' |  |  |' || chr(10)
+  || '| a "b" \| c d |  |  | ' || replace(replace(html, chr(10), ' '), '|', '\|') || ' |'"""
+
 MODES = """ext_modes AS (SELECT unnest(['.pdf','.docx','.doc','.pptx','.ppt','.xlsx','.xls','.csv','.html','.htm','.json','.xml','.epub','.zip','.txt','.md','.rst']) AS ext, 'standard' AS mode
 UNION ALL SELECT unnest(['.jpg','.jpeg','.png','.gif','.webp','.bmp','.tif','.tiff']), 'paddle_ocr'),
 overrides AS (SELECT * FROM (VALUES ('.tif', 'ocr'), ('.md', 'high_accuracy'), ('.PDF', 'ocr')) AS t(ext, mode))"""
@@ -225,12 +233,12 @@ TIERS = f"""tiers AS (SELECT page_id, '/tiers/' || page_id || '.htm' AS path, pa
 modes AS (SELECT * FROM (VALUES (0, 'standard'), (1, 'paddle_ocr'), (2, 'ocr'), (3, 'high_accuracy')) AS t(step, mode)),
 tried AS (SELECT path, name, html, size, first, step, mode, step - first AS attempt,
   path || '#' || step AS try_id,
-  CASE step WHEN 0 THEN coalesce({_title('html')}, '')
-    WHEN 1 THEN CASE WHEN NOT contains(html, 'example.net') THEN regexp_extract(html, '(?is)<p>(.*?)</p>', 1) END
-    WHEN 2 THEN {_html('html')}
-    ELSE CASE WHEN length(html) % 2 = 0 THEN '' ELSE html END END AS raw,
-  CASE WHEN step = 1 AND contains(html, 'example.net') THEN 'engine gave up' END AS error
-  FROM tiers CROSS JOIN modes WHERE step >= first),
+  CASE step WHEN 0 THEN array_to_string(paragraphs, chr(10) || chr(10))
+    WHEN 1 THEN array_to_string(list_concat(headings, paragraphs), chr(10) || chr(10))
+    WHEN 2 THEN {_html('html')} END AS raw,
+  CASE WHEN step = 3 THEN '{NO_ENGINE}' END AS error
+  FROM (SELECT *, regexp_extract_all(html, '(?is)<p>(.*?)</p>', 1) AS paragraphs,
+    regexp_extract_all(html, '(?is)<h[1-6]\\b[^>]*>(.*?)</h[1-6]\\s*>', 1) AS headings FROM tiers) CROSS JOIN modes WHERE step >= first),
 {_normalized('tried', 'try_id', 'raw', 'tclean')},
 {_validated('tclean', 'try_id', 'clean', 'tried_all', '0.7')}"""
 
@@ -251,7 +259,6 @@ ERROR = "array_to_string(failures, '; ')"
 # batch runs
 
 DOC_FILES = "docfiles AS (SELECT doc_id, '/docs/' || source || '/' || doc_id || '.txt' AS path, doc_id || '.txt' AS name, text, strlen(text)::bigint AS size FROM documents)"
-NO_ENGINE = "no extractor registered for mode ''high_accuracy''"
 
 DOC_RUN = f"""{DOC_FILES},
 {_normalized('docfiles', 'doc_id', 'text', 'dclean')},
@@ -266,7 +273,7 @@ def _file_run(skip: str) -> str:
 flagged AS (SELECT *, mode <> 'unknown' AND ({skip}) AS skip FROM routed),
 first_text AS (SELECT *, CASE WHEN skip OR mode <> 'standard' OR ext IN ('.pdf', '.docx') THEN NULL
   WHEN ext = '.html' OR (ext NOT IN ('.csv', '.md', '.json') AND {MIME} = 'text/html') THEN {_html('text')}
-  WHEN ext = '.csv' THEN '| url | id | note |' || chr(10) || '| --- | --- | --- |' || chr(10) || '| ' || url || ' | ' || page_id || ' |  |' || chr(10) || '| a "b" \\| c d |  |  |'
+  WHEN ext = '.csv' THEN {CSV_PAGE}
   ELSE text END AS raw FROM flagged),
 {_normalized('first_text', 'page_id', 'raw', 'fclean')},
 {_validated('fclean', 'page_id', 'clean', 'fval')},
@@ -275,8 +282,11 @@ filerun AS (SELECT *, CASE WHEN mode = 'unknown' THEN 'failed' WHEN skip THEN 's
     ELSE '{NO_ENGINE}' || CASE WHEN raw IS NULL THEN '' ELSE '; ' || failure_reasons END END AS error FROM fval)"""
 
 
-_CLAIMED = """path <> (SELECT min(o.path) FROM routed o WHERE o.stem = routed.stem AND o.mode <> 'unknown')
-  OR stem IN (SELECT stem FROM files WHERE page_id % 7 = 0)"""
+# The first path of a stem that gives text has the stem; those after it are skipped.
+_STEM_RUN = _file_run("stem IN (SELECT stem FROM files WHERE page_id % 7 = 0)") + """,
+stemrun AS (SELECT * REPLACE (CASE WHEN later THEN 'skipped' ELSE status END AS status, CASE WHEN later THEN NULL ELSE error END AS error)
+  FROM (SELECT *, mode <> 'unknown' AND coalesce(path > (SELECT min(o.path) FROM filerun o WHERE o.stem = filerun.stem AND o.raw IS NOT NULL), false) AS later
+    FROM filerun))"""
 
 
 def _md(select: str) -> str:
@@ -305,16 +315,16 @@ ORACLES: dict[str, str] = {
         FILES,
         f"kinds AS (SELECT *, CASE WHEN ext IN ('.pdf', '.docx') THEN 'none' WHEN ext = '.csv' THEN 'csv' WHEN ext = '.html' OR (ext NOT IN ('.md', '.json') AND {MIME} = 'text/html') THEN 'html' ELSE 'text' END AS kind FROM files)",
         select=f"""SELECT path, CASE kind WHEN 'html' THEN {_html('text')} WHEN 'text' THEN text
-          WHEN 'csv' THEN '| url | id | note |' || chr(10) || '| --- | --- | --- |' || chr(10) || '| ' || url || ' | ' || page_id || ' |  |' || chr(10) || '| a "b" \\| c d |  |  |' END AS raw_md,
+          WHEN 'csv' THEN {CSV_PAGE} END AS raw_md,
           CASE WHEN kind = 'html' THEN {_title('text')} END AS title,
           CASE WHEN kind = 'none' THEN 'no extractor registered for ' || ext END AS extract_error FROM kinds""",
     ),
     "extract_text": "SELECT '/docs/' || source || '/' || doc_id || '.txt' AS path, text AS raw_md, NULL::varchar AS title FROM documents",
     "extract_html": f"SELECT '/tiers/' || page_id || '.htm' AS path, {_html('html')} AS raw_md FROM pages",
     "extract_title": f"SELECT '/tiers/' || page_id || '.htm' AS path, {_title('html')} AS title FROM pages",
-    "extract_csv": """SELECT conv_id, turn, '| turn | role | text | extra |' || chr(10) || '| --- | --- | --- | --- |' || chr(10)
+    "extract_csv": """SELECT conv_id, turn, '| turn | role | text |  |' || chr(10) || '| --- | --- | --- | --- |' || chr(10)
       || '| ' || turn || ' | ' || role || ' | ' || replace(replace(replace(text, 'é', '"'), chr(10), ' '), '|', '\\|') || ' |  |' || chr(10)
-      || '| ' || turn || ' | a\\|b |  |  |' AS raw_md FROM conversations""",
+      || '| ' || turn || ' | a\\|b |  | kept |' AS raw_md FROM conversations""",
     "ocr_lines_to_md": f"""SELECT conv_id, turn, array_to_string(list_filter(list_transform(list_filter(
       regexp_extract_all(text, '[^.\\n]*'), lambda l: NOT starts_with(l, 'L')), lambda l: trim(l, {BLANK_CHARS})), lambda l: l <> ''),
       chr(10) || chr(10)) AS raw_md FROM conversations""",
@@ -423,13 +433,13 @@ ORACLES: dict[str, str] = {
           md5(text) AS raw_md5, md5(clean) AS clean_md5 FROM docrun""",
     ),
     "convert_files": _with(
-        _file_run(_CLAIMED),
+        _STEM_RUN,
         select="""SELECT path, mode AS selected_mode, status, CASE WHEN status = 'failed' AND mode <> 'unknown' THEN 'high_accuracy' END AS escalated_to,
-          CASE WHEN status = 'failed' AND mode = 'standard' THEN 3 WHEN status = 'failed' AND mode = 'paddle_ocr' THEN 2 ELSE 0 END::int AS retry_count, error FROM filerun""",
+          CASE WHEN status = 'failed' AND mode = 'standard' THEN 3 WHEN status = 'failed' AND mode = 'paddle_ocr' THEN 2 ELSE 0 END::int AS retry_count, error FROM stemrun""",
     ),
     "batch_summary": _with(
-        _file_run(_CLAIMED),
-        select="SELECT count(*) AS total, count_if(status = 'success')::bigint AS success, count_if(status = 'failed')::bigint AS failed, count_if(status = 'skipped')::bigint AS skipped FROM filerun",
+        _STEM_RUN,
+        select="SELECT count(*) AS total, count_if(status = 'success')::bigint AS success, count_if(status = 'failed')::bigint AS failed, count_if(status = 'skipped')::bigint AS skipped FROM stemrun",
     ),
     "document_summary": _with(
         DOC_RUN,

@@ -21,12 +21,10 @@ from inkmill.operators.routing import (
     route,
     unsupported_reason,
 )
-from inkmill.operators.selection import first_of_stem, pending
+from inkmill.operators.selection import first_of_stem, pending, where
 from inkmill.plans.catalog import inputs
 from inkmill.plans.convert import convert
 from inkmill.settings import Modes
-from inkmill.sources.files import discover
-from inkmill.sources.staging import staged
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -50,10 +48,6 @@ def _flat_validation(v: str) -> list[Column]:
 # sources and selection
 
 
-def discover_files(spark: SparkSession, sf: str) -> DataFrame:
-    return discover(spark, sf).select("name", "stem", "ext", "size")
-
-
 def path_parts(spark: SparkSession, sf: str) -> DataFrame:
     name = paths.file_name(F.col("path"))
     return inputs.files(spark, sf).select(
@@ -287,15 +281,14 @@ def attempt_rows(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def failed_docs(spark: SparkSession, sf: str) -> DataFrame:
-    done = staged(_tiers(spark, sf).select("path", "status", "raw_md", "failure_reasons", "error"))
-    failures = done.filter(F.col("status") == "failed")
+    failures = where(_tiers(spark, sf), F.col("status") == "failed")
     return failures.select(
         "path", F.size("failure_reasons").alias("n_reasons"), "error", F.col("raw_md").isNotNull().alias("has_raw")
     )
 
 
 def quarantined(spark: SparkSession, sf: str) -> DataFrame:
-    kept = quarantine(staged(_tiers(spark, sf).select("path", "name", "status", "text", "clean_md", "failure_reasons")))
+    kept = quarantine(_tiers(spark, sf))
     return kept.select(
         "input_file", F.length("text").alias("payload_length"), F.length("clean_md").alias("clean_length"),
         _joined(F.col("failure_reasons")).alias("failure_reasons"),
@@ -350,19 +343,17 @@ def document_summary(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def batch_failed(spark: SparkSession, sf: str) -> DataFrame:
-    return report.failed_files(staged(convert(inputs.document_files(spark, sf)).select("name", "status", "error")))
+    return report.failed_files(convert(inputs.document_files(spark, sf)))
 
 
 def outcome_rates(spark: SparkSession, sf: str) -> DataFrame:
-    done = staged(convert(inputs.files(spark, sf)).select("ext", "mode", "status", "validation"))
-    rates = report.outcome_rates(done)
+    rates = report.outcome_rates(convert(inputs.files(spark, sf)))
     return rates.select(
         "ext", "mode", "documents", *[F.round(c, 6).alias(c) for c in ("success_rate", "pass_rate", "log_rate")]
     )
 
 
 QUERIES: dict[str, Query] = {
-    "discover_files": discover_files,
     "path_parts": path_parts,
     "stem_dedup": stem_dedup,
     "skip_existing": skip_existing,

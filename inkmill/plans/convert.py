@@ -10,18 +10,19 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from inkmill.functions.paths import file_name
 from inkmill.operators.audit import conversion_log
 from inkmill.operators.escalation import escalate, outcome
 from inkmill.operators.extraction import Extractors
-from inkmill.operators.report import failed_files, status_counts
+from inkmill.operators.report import details, failed_files, status_counts
 from inkmill.operators.routing import UNKNOWN, route
-from inkmill.operators.selection import first_of_stem, flag_existing
+from inkmill.operators.selection import flag_existing, where
 from inkmill.settings import Settings
 from inkmill.sinks import tables as sinks
 from inkmill.sources.staging import staged
 
 
-def convert(
+def attempted(
     docs: DataFrame,
     settings: Settings = Settings(),
     extractors: Extractors = Extractors(),
@@ -30,37 +31,61 @@ def convert(
     forced_mode: str | None = None,
     key: str = "path",
 ) -> DataFrame:
-    """Outcome of every document, one row each, in one pass.
-
-    `existing` holds the keys (`path` or `stem`) of earlier raw output. With `key="stem"` documents share an output
-    name with all others of their stem: the lowest path is converted and the others are skipped, unless forced.
-    """
+    """Outcome of every document whose key has no earlier output; those with one are skipped."""
     routed = route(docs, settings.modes, forced_mode)
-    if force:
+    if force or existing is None:
         marked = routed.withColumn("skip", F.lit(False))
     elif key == "stem":
-        marked = routed.join(_taken_stems(routed, existing), "path", "left")
-    elif existing is not None:
-        marked = flag_existing(routed, existing).withColumnRenamed("has_output", "skip")
+        # Decided on key columns alone, so that the documents themselves take part in one join only, by path.
+        taken = flag_existing(docs.select("path", "stem"), existing, "stem").filter("has_output")
+        marked = routed.join(taken.select("path", F.lit(True).alias("skip")), "path", "left")
     else:
-        marked = routed.withColumn("skip", F.lit(False))
+        marked = flag_existing(routed, existing).withColumnRenamed("has_output", "skip")
     # Documents nobody can route are reported as such, whatever was written before.
     skip = F.coalesce("skip", F.lit(False)) & (F.col("mode") != UNKNOWN)
     return outcome(escalate(marked.withColumn("skip", skip), settings, extractors))
 
 
-def _taken_stems(routed: DataFrame, existing: DataFrame | None) -> DataFrame:
-    """Paths whose output name belongs to another document or an earlier run.
+def one_per_stem(done: DataFrame) -> DataFrame:
+    """Documents of a stem share an output: the lowest path that gave text has it, and those after it are skipped.
 
-    Decided on key columns alone, so that the documents themselves take part in one join only. Documents nobody can
-    route never get an output and do not claim the name.
+    Documents before it have failed without text and stay failed. The lowest path is a minimum, combined before the shuffle;
+    who comes too late is decided on key columns, and the documents are joined by path.
     """
-    claims = first_of_stem(routed.filter(F.col("mode") != UNKNOWN).select("path", "stem"))
-    taken = ~F.col("is_first")
-    if existing is not None:
-        claims = flag_existing(claims, existing, "stem")
-        taken = taken | F.col("has_output")
-    return claims.filter(taken).select("path", F.lit(True).alias("skip"))
+    holders = where(done, F.col("raw_md").isNotNull()).groupBy("stem").agg(F.min("path").alias("holder"))
+    named = done.filter(~F.col("skip") & (F.col("mode") != UNKNOWN)).select("path", "stem")
+    late = named.join(holders, "stem").filter(F.col("path") > F.col("holder")).select("path", F.lit(True).alias("late"))
+    marked = done.join(late, "path", "left")
+    empty = {c: F.when(F.col("late").isNull(), F.col(c)) for c in _GIVEN}
+    return marked.withColumns(
+        {
+            **empty,
+            "retry_count": F.when(F.col("late"), 0).otherwise(F.col("retry_count")),
+            "skip": F.coalesce("late", "skip"),
+            "status": F.when(F.col("late"), "skipped").otherwise(F.col("status")),
+        }
+    ).drop("late")
+
+
+_GIVEN = ("escalated_to", "raw_md", "title", "clean_md", "validation", "last_error", "failure_reasons", "error")
+
+
+def convert(
+    docs: DataFrame,
+    settings: Settings = Settings(),
+    extractors: Extractors = Extractors(),
+    existing: DataFrame | None = None,
+    force: bool = False,
+    forced_mode: str | None = None,
+    key: str = "path",
+) -> DataFrame:
+    """Outcome of every document, one row each, in one pass.
+
+    `existing` holds the keys (`path` or `stem`) of earlier raw output. With `key="stem"` documents share an output name
+    with all others of their stem, unless forced; which one gets it is known after the attempts (see `one_per_stem`).
+    """
+    done = attempted(docs, settings, extractors, existing, force, forced_mode, key)
+    return one_per_stem(done) if key == "stem" and not force else done
 
 
 @dataclass(frozen=True)
@@ -68,6 +93,7 @@ class Run:
     run_id: str
     summary: DataFrame
     failures: DataFrame
+    details: DataFrame
 
 
 class BatchFailed(RuntimeError):
@@ -77,7 +103,7 @@ class BatchFailed(RuntimeError):
 def earlier_output(spark: SparkSession, target: str, key: str, run_id: str) -> DataFrame | None:
     """Keys of raw output written by other runs, or None before the first one. A run that is repeated ignores itself."""
     try:
-        return spark.read.parquet(f"{target}/raw").filter(F.col("run_id") != run_id).select(key)
+        return spark.read.schema(f"{key} string, run_id string").parquet(f"{target}/raw").filter(F.col("run_id") != run_id).select(key)
     except AnalysisException as e:
         if e.getCondition() == "PATH_NOT_FOUND":
             return None
@@ -96,29 +122,33 @@ def run_batch(
 ) -> Run:
     """Convert `docs` and write raw, clean, failed and logs tables below `target`.
 
-    The outcome is staged once; every table and report reads only its own columns of it.
+    The outcome is staged once, below `target`, and every table reads only its own columns of it; it is deleted when all are
+    written. The reports read the log.
     """
     spark = docs.sparkSession
     run_id = run_id or uuid.uuid4().hex
     started = time.monotonic()
     existing = None if force else earlier_output(spark, target, key, run_id)
-    converted = convert(docs, settings, extractors, existing, force, forced_mode, key)
+    done = attempted(docs, settings, extractors, existing, force, forced_mode, key)
     # The input itself is needed again only for the documents that go to quarantine.
-    payload = [c for c in ("text", "content") if c in converted.columns]
+    payload = [c for c in ("text", "content") if c in done.columns]
     failed = F.col("status") == "failed"
-    result = staged(converted.withColumns({c: F.when(failed, F.col(c)) for c in payload}))
-
-    sinks.write_raw(result, f"{target}/raw", run_id)
-    sinks.write_clean(result, f"{target}/clean", run_id)
-    sinks.write_quarantine(result, f"{target}/failed", run_id)
-    log = conversion_log(
-        result, F.lit(f"{target}/raw"), F.lit(f"{target}/clean"), round(time.monotonic() - started, 3)
-    )
-    sinks.write_log(log, f"{target}/logs", run_id)
-
-    run = Run(run_id, status_counts(result), failed_files(result))
+    with staged(done.withColumns({c: F.when(failed, F.col(c)) for c in payload}), f"{target}/staging/{run_id}") as held:
+        result = one_per_stem(held) if key == "stem" and not force else held
+        sinks.write_raw(result, f"{target}/raw", run_id)
+        sinks.write_clean(result, f"{target}/clean", run_id)
+        sinks.write_quarantine(result, f"{target}/failed", run_id)
+        log = conversion_log(
+            result, F.lit(f"{target}/raw"), F.lit(f"{target}/clean"), round(time.monotonic() - started, 3)
+        )
+        sinks.write_log(log, f"{target}/logs", run_id)
+
+    log_schema = "input_file string, status string, error string"
+    logged = spark.read.schema(log_schema).json(sinks.run_folder(f"{target}/logs", run_id)).withColumnRenamed("input_file", "path")
+    logged = logged.withColumn("name", file_name(F.col("path")))
+    run = Run(run_id, status_counts(logged), failed_files(logged), details(logged))
     if not settings.batch.continue_on_error:
-        worst = result.filter(F.col("status") == "failed").agg(F.min_by(F.struct("path", "error"), "path").alias("f")).first().f
+        worst = logged.filter(F.col("status") == "failed").agg(F.min_by(F.struct("path", "error"), "path").alias("f")).first().f
         if worst is not None:
             raise BatchFailed(f"{worst.path}: {worst.error}")
     return run

@@ -1,4 +1,5 @@
-"""Output tables. Each run writes its own partition, so writing a run again replaces it and history is kept."""
+"""Output tables. Each run writes its own partition folder, so writing a run again replaces it, also by nothing, and history is
+kept."""
 
 from __future__ import annotations
 
@@ -9,12 +10,15 @@ from inkmill.operators.audit import stamped
 from inkmill.operators.escalation import quarantine
 
 
+def run_folder(target: str, run_id: str) -> str:
+    return f"{target}/run_id={run_id}"
+
+
 def _write_run(df: DataFrame, target: str, run_id: str, form: str = "parquet") -> None:
-    writer = df.withColumn("run_id", F.lit(run_id)).write.mode("overwrite").partitionBy("run_id")
-    writer = writer.option("partitionOverwriteMode", "dynamic")
+    writer = df.write.mode("overwrite")
     if form == "json":
         writer = writer.option("ignoreNullFields", "false")
-    writer.format(form).save(target)
+    writer.format(form).save(run_folder(target, run_id))
 
 
 def write_raw(converted: DataFrame, target: str, run_id: str) -> None:

@@ -1,32 +1,23 @@
-"""Intermediate tables in the shared folder the cluster names."""
+"""Intermediate tables that live as long as a job needs them."""
 
 from __future__ import annotations
 
-import functools
-import tempfile
-import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 
 
-@functools.cache
-def _local_folder() -> str:
-    return tempfile.mkdtemp(prefix="inkmill-")
+@contextmanager
+def staged(df: DataFrame, folder: str) -> Iterator[DataFrame]:
+    """Write once to a folder all executors share, read back, and delete the folder at the end.
 
-
-def staging_folder(spark: SparkSession) -> str:
-    """The folder named by the cluster. Only a local session, which has a single machine, may do without one."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        folder = _local_folder()
-    return folder.rstrip("/")
-
-
-def staged(df: DataFrame) -> DataFrame:
-    """Write once, read back: cuts the lineage, survives lost executors, and later reads only touch the columns they need."""
+    Later reads touch only the columns they need, and lost executors lose nothing of it.
+    """
     spark = df.sparkSession
-    target = f"{staging_folder(spark)}/inkmill-{uuid.uuid4().hex}"
-    df.write.parquet(target)
-    return spark.read.schema(df.schema).parquet(target)
+    df.write.mode("overwrite").parquet(folder)
+    try:
+        yield spark.read.schema(df.schema).parquet(folder)
+    finally:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -8,16 +8,6 @@ from pyspark.sql import functions as F
 from inkmill.functions import paths
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Give a small input enough partitions to occupy every core.
-
-    Text work is bound by the processor, and a table of a few files is read in fewer tasks than there are cores. Input
-    with at least two scan partitions per core, which is any large table, is returned as it is, without a shuffle.
-    """
-    wanted = 2 * df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= wanted else df.repartition(wanted)
-
-
 def table(spark: SparkSession, folder: str, name: str, *columns: str) -> DataFrame:
     """Read the named columns of one parquet table."""
     df = spark.read.parquet(f"{folder}/{name}.parquet")

@@ -10,8 +10,8 @@ from inkmill.operators.escalation import attempt_summary, escalate, next_mode, o
 from inkmill.operators.extraction import Extractors, PythonExtractor, extract, extracted, failed, recognised, standard
 from inkmill.operators.routing import EXTENSION_MODES, route
 from inkmill.operators.selection import first_of_stem, flag_existing, pending
-from inkmill.settings import DEFAULT_CHAIN, Batch, Modes, Settings, Validation
-from inkmill.sources.tables import documents, spread
+from inkmill.settings import DEFAULT_CHAIN, Modes, Settings, Validation
+from inkmill.sources.tables import documents
 
 
 def files(spark, rows):
@@ -66,7 +66,7 @@ def test_settings_refuse_nonsense():
         (N.collapse_repeats, "hello world!" * 3 + " extra", "hello world! extra"),
         (N.normalize, "", ""),
         (N.normalize, "# Title   \n\n\n\nParagraph.\n", "# Title\n\nParagraph."),
-        (N.normalize, "```python\n* not a bullet\n## not a heading\n```", "```python\n* not a bullet\n## not a heading\n```"),
+        (N.normalize, "```sql\n* FROM t\n##  \n```", "```sql\n* FROM t\n##  \n```"),
         (N.normalize, "A\n\n##\n\nB", "A\n\n\nB"),
         (N.normalize, "    * four spaces", "- four spaces"),
     ],
@@ -88,12 +88,12 @@ def test_many_code_blocks_come_back_in_place(evaluate):
 
 
 def test_validation_cases(evaluate):
-    line = "this is a very repeated line indeed"
+    line = "again and again the same words"
     rows = [
         ("", 10),
         ("Short", None),
-        ("# Title\n\n" + "This is a long enough paragraph. " * 2, None),
-        ("# Title\n\nSome content here that is long enough." * 3, 1_000_000),
+        ("# Report\n\n" + "The mill ran all night long. " * 2, None),
+        ("# Harvest\n\nWheat, rye and barley were brought in." * 3, 1_000_000),
         ("\n".join([line] * 6), None),
         ("# H1\n## H2\n\n" + "plain text. " * 4, 0),
         ("Just a plain paragraph, and nothing else in it at all.", 54),
@@ -185,8 +185,8 @@ def test_hot_stem_keeps_every_row(spark):
 
 def test_csv_tables(evaluate):
     cases = {
-        "name,age\nAlice,30\nBob,25\n": "| name | age |\n| --- | --- |\n| Alice | 30 |\n| Bob | 25 |",
-        'a,b\r\n"x, ""y""\nz",1,extra\r\n\r\nshort': '| a | b |\n| --- | --- |\n| x, "y" z | 1 |\n| short |  |',
+        "tree,height\noak,30\nelm,25\n": "| tree | height |\n| --- | --- |\n| oak | 30 |\n| elm | 25 |",
+        'a,b\r\n"x, ""y""\nz",1,extra\r\n\r\nshort': '| a | b |  |\n| --- | --- | --- |\n| x, "y" z | 1 | extra |\n| short |  |  |',
         'a"b,c\n"open, to the\nend': '| a"b | c |\n| --- | --- |\n| open, to the end |  |',
         "": "",
         "x|y,": "| x\\|y |  |\n| --- | --- |",
@@ -306,16 +306,21 @@ def test_python_engine_sees_only_its_rows(spark):
     assert all(r.status == "success" for p, r in got.items() if p != "broken.txt")
 
 
+def test_engines_that_cannot_be_built_or_answer_oddly(spark):
+    def broken():
+        raise ImportError("no such package")
+
+    rows = [("a.txt", "short", "standard"), ("b.txt", LONG, "standard")]
+    got = run(spark, rows, Extractors({"paddle_ocr": PythonExtractor(broken), "high_accuracy": PythonExtractor(lambda: lambda row: (7, None))}))
+    assert got["a.txt"].status == "failed" and got["b.txt"].status == "success"
+    assert got["a.txt"].failure_reasons[0] == "extractor answered with int instead of text"
+    only = run(spark, rows, Extractors({"high_accuracy": PythonExtractor(broken)}))
+    assert only["a.txt"].failure_reasons[0] == "no such package" and only["a.txt"].raw_md == "short"
+
+
 def test_attempt_summary(spark):
     rows = [("a", 0, "standard", 1, None), ("a", 1, "ocr", None, "boom"), ("a", 2, "high_accuracy", 3, None), ("b", 0, "ocr", None, None)]
     df = spark.createDataFrame(rows, "path string, attempt int, mode string, validation int, error string")
     got = {r.path: r for r in attempt_summary(df).collect()}
     assert tuple(got["a"]) == ("a", "standard", "high_accuracy", 2, 3, "boom")
     assert tuple(got["b"]) == ("b", "ocr", None, 0, None, None)
-
-
-def test_spread_leaves_large_inputs_alone(spark):
-    many = spark.range(0, 1000, 1, 64)
-    assert spread(many).rdd.getNumPartitions() == 64
-    assert spread(spark.range(0, 1000, 1, 1)).rdd.getNumPartitions() > 1
-    assert Batch().continue_on_error

@@ -12,22 +12,24 @@ from inkmill.functions.validate import validate
 from inkmill.operators.escalation import escalate
 from inkmill.operators.routing import route
 from inkmill.plans.catalog import inputs
+from inkmill.plans.catalog.oracles import ORACLES
+from inkmill.plans.catalog.queries import QUERIES
 from inkmill.plans.convert import BatchFailed, convert, run_batch
 from inkmill.settings import Batch, Settings
 from inkmill.sources.files import discover, read_markdown
 from inkmill.streaming.incremental import convert_stream
 from tests.conftest import SF_DIR
 
-BODY = "This is a sample text file with enough words in it.\n\nIt has multiple paragraphs for testing.\n"
+BODY = "The mill stands by the river and grinds all winter.\n\nIn spring the wheel is mended before the flood comes.\n"
 
 
 @pytest.fixture
 def folder(tmp_path):
     source = tmp_path / "in"
     (source / "deep").mkdir(parents=True)
-    (source / "sample.txt").write_text("# Sample Document\n\n* " + BODY)
-    (source / "page.html").write_text(f"<html><head><title>Test</title></head><body><h1>Hello</h1><p>{BODY}</p></body></html>")
-    (source / "table.csv").write_text("name,age,city\nAlice,30,Seoul\nBob,25,Busan\nCharlie,35,Incheon\n")
+    (source / "sample.txt").write_text("# River Mill\n\n* " + BODY)
+    (source / "page.html").write_text(f"<html><head><title>Mill</title></head><body><h1>Wheel</h1><p>{BODY}</p></body></html>")
+    (source / "table.csv").write_text("grain,sacks,barn\nwheat,30,north\nrye,25,south\nbarley,35,river\n")
     (source / "scan.jpg").write_bytes(b"\xff\xd8\xff\xe0\x00")
     (source / "blob.xyz").write_bytes(b"\x00\x01\x02")
     (source / ".hidden.txt").write_text(BODY)
@@ -67,9 +69,9 @@ def test_run_skip_force_and_collisions(spark, folder, tmp_path):
         "scan.jpg": "no extractor registered for mode 'high_accuracy'",
     }
     clean = {Path(r.path).name: r.clean_md for r in spark.read.parquet(f"{target}/clean").collect()}
-    assert clean["sample.txt"].startswith("# Sample Document\n\n- This") and "scan.jpg" not in clean
+    assert clean["sample.txt"].startswith("# River Mill\n\n- The mill") and "scan.jpg" not in clean
     raw = {Path(r.path).name: r for r in spark.read.parquet(f"{target}/raw").collect()}
-    assert raw["sample.txt"].raw_md == "# Sample Document\n\n* " + BODY and raw["page.html"].title == "Test"
+    assert raw["sample.txt"].raw_md == "# River Mill\n\n* " + BODY and raw["page.html"].title == "Mill"
 
     # The documents that failed before any text was there are tried again, the others are skipped.
     second = run_batch(docs, target, run_id="two")
@@ -88,6 +90,37 @@ def test_run_skip_force_and_collisions(spark, folder, tmp_path):
     assert {r.input_file: bytes(r.content) for r in failed}["blob.xyz"] == b"\x00\x01\x02"
 
 
+def test_cured_run_leaves_no_failed_rows(spark, tmp_path):
+    target, rows = str(tmp_path / "out"), "path string, text string"
+    shape = lambda text: inputs.documents(spark.createDataFrame([("/c/a.txt", text)], rows), F.col("path"), F.col("text"))
+    first = run_batch(shape("short"), target, run_id="r")
+    assert first.summary.first().failed == 1 and spark.read.parquet(f"{target}/failed").count() == 1
+    again = run_batch(shape("# Cured\n\n" + BODY), target, run_id="r")
+    assert again.summary.first().asDict() == {"total": 1, "success": 1, "failed": 0, "skipped": 0}
+    assert again.failures.count() == 0 and spark.read.parquet(f"{target}/failed").count() == 0
+    assert [tuple(r) for r in again.details.collect()] == [("a.txt", "success", None)]
+    assert not list(Path(target).glob("staging/*"))
+
+
+def test_run_without_any_text_can_be_followed(spark, tmp_path):
+    target, rows = str(tmp_path / "out"), "path string, text string"
+    nothing = inputs.documents(spark.createDataFrame([("/c/a.jpg", None)], rows), F.col("path"), F.col("text"))
+    for run in ("one", "two"):
+        assert run_batch(nothing, target, run_id=run).summary.first().failed == 1
+    some = inputs.documents(spark.createDataFrame([("/c/a.jpg", None), ("/c/b.txt", BODY)], rows), F.col("path"), F.col("text"))
+    assert run_batch(some, target, run_id="three").summary.first().success == 1
+
+
+def test_first_document_with_text_has_the_stem(spark, tmp_path):
+    rows = [("/in/a.jpg", None), ("/in/a.txt", BODY), ("/in/z/a.md", BODY), ("/in/b.xyz", None), ("/in/b.txt", BODY)]
+    docs = inputs.documents(spark.createDataFrame(rows, "path string, text string"), F.col("path"), F.col("text"))
+    want = {"/in/a.jpg": "failed", "/in/a.txt": "success", "/in/z/a.md": "skipped", "/in/b.xyz": "failed", "/in/b.txt": "success"}
+    assert {r.path: r.status for r in convert(docs, key="stem").collect()} == want
+    target = str(tmp_path / "out")
+    assert run_batch(docs, target, key="stem", run_id="one").summary.first().asDict() == {"total": 5, "success": 2, "failed": 2, "skipped": 1}
+    assert run_batch(docs, target, key="stem", run_id="two").summary.first().success == 0
+
+
 def test_log_records(spark, folder, tmp_path):
     target = str(tmp_path / "out")
     run_batch(discover(spark, str(folder)), target, run_id="r")
@@ -120,10 +153,10 @@ def test_stream_converts_what_arrives(spark, tmp_path):
     rows = spark.createDataFrame([(f"/s/{i}.txt", f"# Doc {i}\n\n{BODY}") for i in range(6)], "path string, text string")
     rows.coalesce(1).write.parquet(str(source))
 
-    def arrive():
+    def arrive(name="first", checkpoint="cp"):
         stream = spark.readStream.schema("path string, text string").parquet(str(source))
         docs = inputs.documents(stream, F.col("path"), F.col("text"))
-        query = convert_stream(docs, target).option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start()
+        query = convert_stream(docs, target, name).option("checkpointLocation", str(tmp_path / checkpoint)).trigger(availableNow=True).start()
         query.awaitTermination()
 
     arrive()
@@ -136,6 +169,11 @@ def test_stream_converts_what_arrives(spark, tmp_path):
     statuses = spark.read.json(f"{target}/logs").groupBy("status").count().collect()
     assert {r.status: r["count"] for r in statuses} == {"success": 7, "skipped": 1}
 
+    # Another stream keeps out of the way of the first and knows what it wrote.
+    arrive("second", "other")
+    assert spark.read.parquet(f"{target}/clean").count() == 7
+    assert spark.read.json(f"{target}/logs").filter("run_id like 'second-%' and status = 'skipped'").count() == 8
+
 
 def test_text_work_neither_shuffles_nor_leaves_the_jvm(spark):
     docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
@@ -155,5 +193,5 @@ def test_expensive_columns_are_computed_once(spark):
 def test_catalog_is_consistent(spark):
     queries, oracles = entry.queries(), entry.oracle_sql()
     assert set(oracles) <= set(queries)
-    assert set(queries) - set(oracles) == {"discover_files"}
+    assert set(QUERIES) == set(ORACLES) and "discover_files" not in queries
     assert entry.entry(spark).count() > 0
