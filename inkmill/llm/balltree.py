@@ -6,7 +6,7 @@ q . centre + |q| * radius; it leaves out each node whose bound is below the curr
 block first searches one shard. The kth scores found there are shared with the searches of all other shards, which return
 only what can still be among the best.
 
-Defined results: rows without a vector, or with null or non-finite components, take no part; a row that is repeated as a whole
+Defined results: rows without a vector or with an empty one, or with null or non-finite components, take no part; a row that is repeated as a whole
 counts once; rows of a query's own id are no candidates for it; ties go to the smaller id; null ids take no part; vectors of
 different length are only compared within their length; empty tables give empty results. Scores are exact while they fit 64
 bits, which is checked. Other columns are ignored.
@@ -37,7 +37,7 @@ def integer_vectors(rows: DataFrame, scale: int = 256) -> DataFrame:
     bad = F.exists("v", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
     return (
         rows.select(F.col("vec_id").cast("long").alias("vec_id"), double.alias("v"))
-        .filter(F.col("vec_id").isNotNull() & F.col("v").isNotNull() & ~bad)
+        .filter(F.col("vec_id").isNotNull() & (F.size("v") > 0) & ~bad)
         .select("vec_id", F.transform("v", lambda x: F.floor(x * scale).cast("double")).alias("v"), F.size("v").alias("dim"))
     )
 

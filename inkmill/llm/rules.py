@@ -53,12 +53,13 @@ def _without(name: str, characters: str) -> str:
     return f"length(t) - length(regexp_replace(t, '{characters}', '')) AS {name}"
 
 
-def measured(rows: DataFrame) -> DataFrame:
+def measured(rows: DataFrame, hash_bits: int = 64) -> DataFrame:
     """Add the measurements to rows with a text column `t`.
 
     Words of repeated 3-word windows: each window is one long, the leading bits of its hash above its position, so that
     sorting the longs brings equal windows together in about n log n steps. Where neighbours agree in the hash, their words
-    are compared; should two different windows ever agree, the document is done again by the words themselves.
+    are compared; should two different windows ever agree, the document is done again by the words themselves. `hash_bits`
+    leading bits are used, less those of the position.
     """
     keep = rows.columns
     words = rows.withColumn("w", F.regexp_extract_all("t", F.lit(WORD), F.lit(0)))
@@ -67,7 +68,7 @@ def measured(rows: DataFrame) -> DataFrame:
         "w",
         "size(w) AS n",
         f"filter(split(t, '\\n', -1), l -> l RLIKE '{_INNER}') AS lines",
-        "(1L << length(bin(size(w)))) - 1 AS low",
+        f"(1L << greatest(length(bin(size(w))), {64 - hash_bits})) - 1 AS low",
         "length(array_join(w, '')) AS word_chars",
         _without("n_symbols", "[#*$%&|<>]"),
         _without("n_exclaims", "!"),
