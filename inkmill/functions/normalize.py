@@ -19,6 +19,8 @@ from inkmill.settings import Normalization
 FENCED_BLOCK = r"(?s)```[^\n]*\n.*?```|~~~[^\n]*\n.*?~~~"
 TOKEN_PREFIX, TOKEN_SUFFIX = "__CODEBLOCK_", "__"
 MIN_TOKEN_LENGTH, MIN_TOKEN_REPEATS = 10, 3
+#: Places of a line's start of which all distances are looked at.
+MOST_PLACES = 64
 
 TOKEN_PATTERN = f"{TOKEN_PREFIX}[0-9a-f]{{32}}{TOKEN_SUFFIX}"
 
@@ -103,6 +105,28 @@ def _longest_recurring_prefix(line: str) -> str:
         (b, step) -> CASE WHEN b.lo >= b.hi THEN b ELSE {halve} END, b -> b.lo)"""
 
 
+def _possible_lengths(line: str) -> str:
+    """Token lengths for which the line's first characters stand three times at equal distances; null where they stand at too
+    many places to look at all distances, and every length has to be tried."""
+    place = f"position(left({line}, {MIN_TOKEN_LENGTH}), {line}, g.at + 1)"
+    step = let(
+        "q",
+        place,
+        """CASE WHEN g.at < 0 OR q = 0 THEN named_struct('at', -1, 'found', g.found)
+            ELSE named_struct('at', q, 'found', array_append(g.found, q)) END""",
+    )
+    start = "named_struct('at', 0, 'found', cast(array() AS array<int>))"
+    found = f"aggregate(sequence(1, {MOST_PLACES + 1}), {start}, (g, turn) -> {step}, g -> g.found)"
+    distances = "array_distinct(flatten(transform(places, u -> transform(places, v -> v - u))))"
+    three = "exists(places, u -> array_contains(places, u + d) AND array_contains(places, u + 2 * d))"
+    return let(
+        "places",
+        found,
+        f"""CASE WHEN size(places) <= {MOST_PLACES}
+            THEN filter({distances}, d -> d >= {MIN_TOKEN_LENGTH} AND {three}) END""",
+    )
+
+
 def _collapse_line(line: str) -> str:
     # A step copies its state, so that holds the places cut out so far and not the line.
     current = f"aggregate(s.cuts, {line}, (x, cut) -> concat(left(x, cut.p), substring(x, cut.q)))"
@@ -110,13 +134,16 @@ def _collapse_line(line: str) -> str:
     replaced = let(
         "shorter",
         f"concat(left(now, p - 1 + n), substring(now, p + {MIN_TOKEN_REPEATS} * n))",
-        f"named_struct('cap', {_longest_recurring_prefix('shorter')}, 'cuts', array_append(s.cuts, {cut}))",
+        f"""named_struct('cap', {_longest_recurring_prefix('shorter')}, 'cuts', array_append(s.cuts, {cut}),
+            'lengths', {_possible_lengths('shorter')})""",
     )
     at = f"instr(now, repeat(left(now, n), {MIN_TOKEN_REPEATS}))"
     attempt = let("now", current, let("p", at, f"CASE WHEN p = 0 THEN s ELSE {replaced} END"))
-    start = "named_struct('cap', cap, 'cuts', cast(array() AS array<struct<p:int,q:int>>))"
+    start = f"""named_struct('cap', cap, 'cuts', cast(array() AS array<struct<p:int,q:int>>),
+        'lengths', {_possible_lengths(line)})"""
+    possible = "n <= s.cap AND (s.lengths IS NULL OR array_contains(s.lengths, n))"
     from_longest = f"""aggregate(sequence(cap, {MIN_TOKEN_LENGTH}, -1), {start},
-        (s, n) -> CASE WHEN n > s.cap THEN s ELSE {attempt} END, s -> {current})"""
+        (s, n) -> CASE WHEN {possible} THEN {attempt} ELSE s END, s -> {current})"""
     # Nearly every line stops at these two tests.
     return f"""CASE WHEN octet_length({line}) >= {MIN_TOKEN_LENGTH * MIN_TOKEN_REPEATS}
             AND position(left({line}, {MIN_TOKEN_LENGTH}), {line}, {2 * MIN_TOKEN_LENGTH + 1}) > 0

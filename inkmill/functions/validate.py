@@ -56,16 +56,16 @@ def _periodic(units: str, separator: str, options: Validation) -> str:
     token = f"length(array_join(slice({units}, at + 1, k), '{separator}')) + {len(separator)}"
     inner = f"{copies - 2} * k"
     # A few units settle most cases before whole blocks are compared.
-    near = f"forall(sequence(0, least(32, {inner}) - 1), d -> get({units}, at + d) = get({units}, at + k + d)) AND" if copies > 2 else ""
-    confirmed = f"""exists(array({token}), token -> token >= {shortest} AND {near}
-        slice({units}, at + 1, {inner}) = slice({units}, at + k + 1, {inner}) AND {stretch})"""
+    near = [f"forall(sequence(0, least(32, {inner}) - 1), d -> get({units}, at + d) = get({units}, at + k + d))"] if copies > 2 else []
+    confirmed = f"""exists(array({token}), token -> token >= {shortest}
+        AND slice({units}, at + 1, {inner}) = slice({units}, at + k + 1, {inner}) AND {stretch})"""
 
     anchors = [f"get({units}, at + {i} * k) = get({units}, at + {i + 1} * k)" for i in range(whole - 1)]
     # The first comparison settles nearly all cases, so it is kept as short as can be.
     anchors[:1] = [f"get({units}, at) = get({units}, at + k)"] if anchors else []
     last = f"cast((size({units}) - 1) DIV k AS int) - {whole - 1}"
     with_period = f"""{last} >= 0 AND exists(sequence(0, greatest({last}, 0) * k, k), at ->
-        {' AND '.join([*anchors, confirmed])})"""
+        {' AND '.join([*anchors, *near, confirmed])})"""
 
     longest = f"cast((size({units}) + {len(separator)}) DIV {copies} AS int)"
     # On characters the token length is the period itself.
