@@ -34,8 +34,9 @@ from inkmill.llm.lookup import id_bits, passing, placed
 from inkmill.llm.shingles import mixed
 
 LENGTH, GRAM, BATCHES = 400, 100, 4
-#: Anchors that occur more often than this are counted by hash instead of being compared in one place.
-HOT = 2000
+#: Anchors that occur more often than this are counted by hash instead of being compared in one place. Compared in one place,
+#: each takes about 700 bytes and as much again for the padded rows, so that a task stays below 100 MB.
+HOT = 32_768
 #: Into how many parts the strings around a hot anchor are divided at each step.
 PARTS = 7
 
