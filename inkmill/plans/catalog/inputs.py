@@ -70,6 +70,20 @@ def files(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+#: First bytes of files, by page: PDF, JPEG, PNG, GIF, WebP, BMP, TIFF, a package, a text document, and none.
+FIRST_BYTES = (
+    "255044462D312E37", "FFD8FFE0", "89504E470D0A1A0A", "474946383961", "524946460000000057454250", "424D0000", "4D4D002A",
+    "504B03040A00", "504B03040A00776F72642F646F63756D656E742E786D6C", "",
+)
+
+
+def byte_files(spark: SparkSession, sf: str) -> DataFrame:
+    """pages as bytes behind the signatures of other formats."""
+    rows = table(spark, sf, "pages", "page_id", "html")
+    first = F.element_at(F.array(*map(F.lit, FIRST_BYTES)), (F.col("page_id") % len(FIRST_BYTES) + 1).cast("int"))
+    return rows.select("page_id", F.concat(F.unhex(first), F.encode("html", "UTF-8")).alias("content"))
+
+
 def converted_before(spark: SparkSession, sf: str) -> DataFrame:
     """Keys of the files that an earlier run is taken to have converted."""
     return files(spark, sf).filter(F.col("page_id") % 7 == 0).select("path", "stem")

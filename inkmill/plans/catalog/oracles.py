@@ -306,6 +306,9 @@ ORACLES: dict[str, str] = {
         FILES, f"m AS (SELECT path, {MIME} AS mime FROM files)",
         select="SELECT path, mime, CASE WHEN mime IS NOT NULL THEN 'standard' END AS mode FROM m",
     ),
+    "sniff_bytes": """SELECT page_id, (strlen(html) + [8, 4, 8, 6, 12, 4, 4, 6, 23, 0][page_id % 10 + 1])::int AS size,
+      ['application/pdf', 'image/jpeg', 'image/png', 'image/gif', 'image/webp', 'image/bmp', 'image/tiff', 'application/zip',
+       'application/vnd.openxmlformats-officedocument.wordprocessingml.document', NULL][page_id % 10 + 1] AS mime FROM pages""",
     "route": _with(FILES, routed(True), select="SELECT path, mode FROM routed"),
     "route_unknown": _with(
         FILES, routed(False),

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from inkmill.functions import markup, normalize as N, paths, validate as V
+from inkmill.functions import markup, normalize as N, paths, sniff, validate as V
 from inkmill.operators import audit, report
 from inkmill.operators.escalation import attempt_summary, escalate, next_mode, outcome, quarantine
 from inkmill.operators.extraction import Extractors, extract, extracted, standard
@@ -92,6 +92,11 @@ def sniff_mime(spark: SparkSession, sf: str) -> DataFrame:
     return typed.withColumn("mode", lookup(TYPE_MODES, F.col("mime")))
 
 
+def sniff_bytes(spark: SparkSession, sf: str) -> DataFrame:
+    files = inputs.byte_files(spark, sf)
+    return files.select("page_id", F.octet_length("content").alias("size"), sniff.binary_type(F.col("content")).alias("mime"))
+
+
 def route_all(spark: SparkSession, sf: str) -> DataFrame:
     return route(inputs.files(spark, sf), Modes(extension_overrides=inputs.OVERRIDES)).select("path", "mode")
 
@@ -361,6 +366,7 @@ QUERIES: dict[str, Query] = {
     "route_ext": route_ext,
     "route_override": route_override,
     "sniff_mime": sniff_mime,
+    "sniff_bytes": sniff_bytes,
     "route": route_all,
     "route_unknown": route_unknown,
     "extract_standard": extract_standard,
