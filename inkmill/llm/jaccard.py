@@ -13,8 +13,9 @@ ever meet. It only decides which shingles are first: results never depend on the
 
 Classes that meet are links if the sizes of their sets, and the places of the shared shingle, allow it and the sets, compared
 in full, reach the threshold. A group of g classes that all meet must not cost g * g comparisons when a few links connect it:
-lists are first linked along an order, several times, and components are formed; at last every remaining pair of a list that
-lies in different components is compared, so that no link is lost.
+lists are first linked along an order, neighbour by neighbour, more than once, and components are formed; at last every
+remaining pair of a list that lies in different components is compared, so that no link is lost. Only classes in pairs that
+passed the filters have their sets fetched.
 
 Shingles and sets are compared by 64-bit hashes of their words; the chance of one wrong link is about the squared number of
 shingles in two documents over 2**64.
@@ -35,6 +36,7 @@ from pyspark.sql import functions as F
 
 from inkmill.llm.common import packed, saved, whole_text
 from inkmill.llm.components import connected
+from inkmill.llm.lookup import chosen, id_bits, placed
 from inkmill.llm.shingles import fingerprint, mixed, sequences
 
 SIZE = 5
@@ -43,7 +45,7 @@ PART, WHOLE = 3, 4
 SKETCH_BITS, SKETCH_PARTS = 20, 64
 #: Cost of following an entry of an inverted list, in emitted entries; and the largest set that may be light.
 SCAN_COST, LARGEST_LIGHT = 2.0, 64
-ROUNDS = 3
+ROUNDS = 2
 #: Classes a task remembers, so that it emits copies once.
 REMEMBERED = 200_000
 
@@ -209,43 +211,20 @@ def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _sets(bits):
-    """(doc_id, members) of the documents whose bit is set."""
+    """(doc_id, fp, members) of the documents whose bit is set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        wanted = bits.value
         for batch in batches:
-            place = batch.column("place").to_numpy()
-            part = batch.filter(pa.array((wanted[place >> 3] >> (place & 7).astype(np.uint8)) & 1 == 1))
+            part = chosen(batch, bits.value)
             if part.num_rows:
-                members = [np.unique(found).tobytes() for _, found, _ in sequences(part.column("text"), SIZE)]
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(members, pa.binary())], ["doc_id", "members"])
+                members = [np.unique(found) for _, found, _ in sequences(part.column("text"), SIZE)]
+                prints = pa.array([fingerprint(m) for m in members], pa.int64())
+                packs = pa.array([m.tobytes() for m in members], pa.binary())
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), prints, packs], ["doc_id", "fp", "members"])
 
     return run
 
 
-def id_bits(wanted: DataFrame, per_id: int = 16, most: int = 1 << 27) -> np.ndarray:
-    """A bit map of the hashed ids of a table, of at most `most` bits (16 MB). It spares work on the other documents; a
-    full map lets more of them pass, and the join by id that follows drops them."""
-    count, bits = wanted.count(), 1 << 15
-    while bits < per_id * count and bits < most:
-        bits *= 2
-    place = F.pmod(F.xxhash64("doc_id"), F.lit(bits))
-    parts = (
-        wanted.select(place.alias("p"))
-        .groupBy(F.shiftright("p", 15).cast("int").alias("part"))
-        .agg(F.bitmap_construct_agg(F.bitmap_bit_position(F.col("p").bitwiseAND(F.lit(32767)) + 1)).alias("bits"))
-    )
-    found = np.zeros(bits // 8, np.uint8)
-    for r in parts.toLocalIterator():
-        found[r.part * 4096 : (r.part + 1) * 4096] = np.frombuffer(r.bits, np.uint8)
-    return found
-
-
-def placed(docs: DataFrame, bits: np.ndarray) -> DataFrame:
-    """doc_id, text and the place of the id in the bit map."""
-    return docs.select("doc_id", "text", F.pmod(F.xxhash64("doc_id"), F.lit(len(bits) * 8)).alias("place"))
-
-
 def links(docs: DataFrame, profile: DataFrame) -> DataFrame:
     """component of each linked class (fp) of the documents in `profile` (doc_id, n, fp)."""
     spark = docs.sparkSession
@@ -254,36 +233,49 @@ def links(docs: DataFrame, profile: DataFrame) -> DataFrame:
     limit = boundary([tuple(r) for r in classes.collect()])  # one row for each of the small sizes
     entries = docs.select("doc_id", "text").mapInArrow(_entries(sketch, limit), "key long, fp long, n int, at int")
     lists = saved(_shared(entries))
-    # One document stands for each class that meets another.
-    held = lists.select("fp").distinct()
-    stands = saved(profile.filter("n > 1").groupBy("fp").agg(F.min("doc_id").alias("doc_id")).join(held, "fp", "left_semi"))
-    bits = id_bits(stands)
-    members = placed(docs, bits).mapInArrow(_sets(spark.sparkContext.broadcast(bits)), "doc_id long, members binary")
-    sets = saved(members.join(stands, "doc_id").select("fp", "members").dropDuplicates(["fp"]))
-
-    def verified(pairs: DataFrame) -> DataFrame:
+    # One document stands for each class.
+    heads = profile.filter("n > 1").groupBy("fp").agg(F.min("doc_id").alias("stand"))
+    stands = saved(heads.join(lists.select("fp").distinct(), "fp", "left_semi"))
+
+    def fetched(classes: DataFrame) -> DataFrame:
+        """fp and members of classes, from the texts of the documents that stand for them."""
+        wanted = saved(classes.join(stands, "fp").select("fp", F.col("stand").alias("doc_id")))
+        bits = id_bits(wanted, "doc_id")
+        members = placed(docs, bits, "doc_id").mapInArrow(
+            _sets(spark.sparkContext.broadcast(bits)), "doc_id long, fp long, members binary"
+        )
+        one = members.join(wanted.withColumnRenamed("doc_id", "stand"), "fp").filter("doc_id = stand")
+        return saved(one.select("fp", "members").dropDuplicates(["fp"]))
+
+    def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
         left = sets.select(F.col("fp").alias("a"), F.col("members").alias("x"))
         right = sets.select(F.col("fp").alias("b"), F.col("members").alias("y"))
-        return pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(_compared, "a long, b long")
-
-    def labelled(known: DataFrame) -> DataFrame:
-        named = lists.join(known.withColumnRenamed("node", "fp"), "fp", "left")
-        return named.withColumn("component", F.coalesce("component", "fp"))
+        joined = pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y")
+        return saved(joined.mapInArrow(_compared, "a long, b long"))
 
     known = spark.createDataFrame([], "node long, component long")
-    all_links = spark.createDataFrame([], "a long, b long")
+    sets = spark.createDataFrame([], "fp long, members binary")
     for turn in range(ROUNDS + 1):
-        now = labelled(known)
-        pairs = _ordered(_chained(now, turn) if turn < ROUNDS else _crossing(now))
-        found = saved(verified(pairs))
-        if found.limit(1).count():
-            all_links = all_links.unionByName(found)
-            known = connected(all_links)
-        elif turn == ROUNDS:
-            break
+        now = lists.join(known.withColumnRenamed("node", "fp"), "fp", "left").withColumn("component", F.coalesce("component", "fp"))
+        pairs = saved(_ordered(_chained(now, turn) if turn < ROUNDS else _crossing(now)))
+        held = pairs.select(F.col("a").alias("fp")).union(pairs.select("b")).distinct()
+        sets = sets.union(fetched(held.join(sets.select("fp"), "fp", "left_anti")))
+        known = _merged(known, verified(pairs, sets))
     return known.select(F.col("node").alias("fp"), "component")
 
 
+def _merged(known: DataFrame, found: DataFrame) -> DataFrame:
+    """Components after more links: only the labels at the ends of the links are connected anew."""
+    ends = found.select(F.col("a").alias("node")).union(found.select("b")).distinct()
+    nodes = known.union(ends.join(known, "node", "left_anti").select("node", F.col("node").alias("component")))
+    nodes = saved(nodes)
+    named = found.join(nodes.select(F.col("node").alias("a"), F.col("component").alias("x")), "a")
+    named = named.join(nodes.select(F.col("node").alias("b"), F.col("component").alias("y")), "b")
+    upper = connected(named.filter("x != y").select(F.col("x").alias("a"), F.col("y").alias("b")))
+    renamed = nodes.join(upper.select(F.col("node").alias("component"), F.col("component").alias("upper")), "component", "left")
+    return saved(renamed.select("node", F.coalesce("upper", "component").alias("component")))
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles and component_id, the smallest id reachable by links, of every document."""
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text"))
