@@ -40,7 +40,7 @@ class PerfectHash:
     """As many slots as keys, one for each key: buckets of a first hash, each with the displacement that fits its keys."""
 
     def __init__(self, keys: list[bytes]):
-        self.n, self.buckets = len(keys), max(1, len(keys) // 4)
+        self.n, self.buckets = len(keys), max(1, len(keys) * 2 // 5)
         self.displacement = [0] * self.buckets
         self.slots: list[int] = [-1] * self.n
         by_bucket: dict[int, list[tuple[int, int]]] = {}
@@ -65,7 +65,7 @@ class PerfectHash:
             free.difference_update(places)
 
     def _place(self, h: int, d: int) -> int:
-        return ((h >> 20) + d * ((h >> 40) | 1) + d * d) % self.n
+        return ((((h ^ (d * 0x9E3779B97F4A7C15)) * 0xBF58476D1CE4E5B9) & 0xFFFFFFFFFFFFFFFF) >> 32) % self.n
 
     def __call__(self, key: bytes) -> int:
         """The only index at which the key can be."""
@@ -80,7 +80,8 @@ class Encoder:
         self.ranks = ranks
         self.tokens = list(ranks)
         self.hash = PerfectHash(self.tokens)
-        self.packed = [np.array([ranks[t]], "<u4").tobytes() for t in self.tokens]
+        self.packed = [rank.to_bytes(4, "little") for rank in ranks.values()]
+        self.packed_rank = dict(zip(ranks.values(), self.packed, strict=True))
         self.pairs = [ranks.get(bytes((a, b)), NO_RANK) for a in range(256) for b in range(256)]
 
     def merged(self, piece: bytes) -> list[int]:
@@ -121,7 +122,7 @@ class Encoder:
         i = self.hash(piece)
         if self.tokens[i] == piece:
             return self.packed[i]
-        return np.array(self.merged(piece), "<u4").tobytes()
+        return b"".join(map(self.packed_rank.__getitem__, self.merged(piece)))
 
     def texts(self, texts: Iterator[str]) -> Iterator[bytes]:
         split, known = regex.compile(self.pattern).findall, {}
