@@ -137,6 +137,27 @@ def test_passages(spark):
     assert passages.passages(frame(spark, rows).limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("at", range(50))
+def test_passages_with_a_changed_word_are_decided_by_similarity(at):
+    rng = np.random.default_rng(at)
+    one, two = rng.integers(1, 2**62, (2, 140)).astype(np.uint64)
+    two[30:76] = one[50:96]
+    # Word `at` of 50 differs: five of the shingles, or fewer at the ends.
+    two[30 + max(0, at - 4) : 30 + min(45, at) + 1] += np.uint64(1)
+    found = passages.stretches(one, two, 46, 0.75)
+    assert [(s <= 60 and e >= 85 and t <= 40 and f >= 65) for s, e, t, f, _ in found] == [True]
+    for s, e, t, f, share in found:
+        a, b = set(one[s : e + 1].tolist()), set(two[t : f + 1].tolist())
+        assert min(e - s, f - t) >= 45 and len(a & b) / len(a | b) == pytest.approx(share) and share >= 0.75
+
+
+def test_each_occurrence_of_a_passage_is_found():
+    one, two = np.random.default_rng(1).integers(1, 2**62, (2, 300)).astype(np.uint64)
+    two[10:70] = two[200:260] = one[100:160]
+    assert [(t, f) for _, _, t, f, _ in passages.stretches(one, two, 46, 0.75)] == [(10, 69), (200, 259)]
+    assert passages.stretches(one, two[70:200], 46, 0.75) == []
+
+
 def test_windows_cover_each_long_subsequence_once():
     rng = np.random.default_rng(5)
     for hashes in (rng.integers(0, 50, 60), rng.permutation(60), np.zeros(60, int)):
