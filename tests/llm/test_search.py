@@ -137,6 +137,17 @@ def test_passages(spark):
     assert passages.passages(frame(spark, rows).limit(0)).count() == 0
 
 
+def test_passages_with_an_inserted_word(spark):
+    rnd = random.Random(52)
+    rows, want = [], set()
+    for g in range(12):
+        passage = prose(rnd, 50).split(" ")
+        for side, inner in enumerate((passage, [*passage[:25], "inserted", *passage[25:]])):
+            rows.append((2 * g + side, " ".join([prose(rnd, 60), *inner, prose(rnd, 60)]), None))
+        want |= {(2 * g, 2 * g + 1), (2 * g + 1, 2 * g)}
+    assert {(r.doc_id, r.other_doc_id) for r in passages.passages(frame(spark, rows)).collect()} == want
+
+
 @pytest.mark.parametrize("at", range(50))
 def test_passages_with_a_changed_word_are_decided_by_similarity(at):
     rng = np.random.default_rng(at)
