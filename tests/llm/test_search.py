@@ -148,6 +148,15 @@ def test_passages_with_an_inserted_word(spark):
     assert {(r.doc_id, r.other_doc_id) for r in passages.passages(frame(spark, rows)).collect()} == want
 
 
+def test_passages_of_several_texts_are_reported_with_each(spark):
+    rnd = random.Random(53)
+    passage = prose(rnd, 60)
+    rows = [(i, f"{prose(rnd, 40)} {passage} {prose(rnd, 40)}", None) for i in range(3)]
+    rows.append((9, rows[0][1], None))
+    got = {(r.doc_id, r.other_doc_id, r.start_word, r.n_words) for r in passages.passages(frame(spark, rows)).collect()}
+    assert got == {(i, j, 40, 60) for i in range(3) for j in range(3) if i != j} | {(0, 9, 0, 140), (9, 0, 0, 140)}
+
+
 @pytest.mark.parametrize("at", range(50))
 def test_passages_with_a_changed_word_are_decided_by_similarity(at):
     rng = np.random.default_rng(at)
