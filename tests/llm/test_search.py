@@ -157,6 +157,20 @@ def test_passages_of_several_texts_are_reported_with_each(spark):
     assert got == {(i, j, 40, 60) for i in range(3) for j in range(3) if i != j} | {(0, 9, 0, 140), (9, 0, 0, 140)}
 
 
+def test_lists_keep_each_text_that_another_one_meets(spark):
+    # Key 1: text 7 has many windows, which lie around those of text 5 in any order.
+    found = spark.createDataFrame([(1, 7)] * 5 + [(1, 5)] + [(1, 7)] * 5 + [(2, 7)] * 3 + [(3, 5)], "key long, fp long")
+    assert in_order((r.key, r.fp) for r in passages.shared_keys(found).collect()) == [(1, 5), (1, 7)]
+
+
+def test_a_header_repeated_in_one_text_hides_no_passage(spark):
+    rnd = random.Random(54)
+    header = prose(rnd, 50)
+    rows = [(1, " ".join(f"{header} {prose(rnd, 30 + i)}" for i in range(6)), None), (2, f"{prose(rnd, 30)} {header} {prose(rnd, 30)}", None)]
+    got = [r.start_word for r in passages.passages(frame(spark, rows)).collect() if (r.doc_id, r.other_doc_id) == (1, 2)]
+    assert sorted(got) == [0, 80, 161, 243, 326, 410]
+
+
 @pytest.mark.parametrize("at", range(50))
 def test_passages_with_a_changed_word_are_decided_by_similarity(at):
     rng = np.random.default_rng(at)
