@@ -163,6 +163,12 @@ def test_lists_keep_each_text_that_another_one_meets(spark):
     assert in_order((r.key, r.fp) for r in passages.shared_keys(found).collect()) == [(1, 5), (1, 7)]
 
 
+def test_lists_of_the_same_texts_are_one(spark):
+    found = spark.createDataFrame([(1, 5), (1, 7), (2, 7), (2, 5), (3, 5), (3, 7), (3, 8), (4, 5), (4, 8)], "key long, fp long")
+    left = passages.different_lists(passages.shared_keys(found)).collect()
+    assert in_order((r.key, r.fp) for r in left) == [(1, 5), (1, 7), (3, 5), (3, 7), (3, 8), (4, 5), (4, 8)]
+
+
 def test_a_header_repeated_in_one_text_hides_no_passage(spark):
     rnd = random.Random(54)
     header = prose(rnd, 50)
@@ -171,6 +177,19 @@ def test_a_header_repeated_in_one_text_hides_no_passage(spark):
     assert sorted(got) == [0, 80, 161, 243, 326, 410]
 
 
+@pytest.mark.parametrize("block", [512, 7])
+def test_boilerplate_of_many_texts_hides_no_passage(spark, monkeypatch, block):
+    monkeypatch.setattr(passages, "BLOCK", block)
+    rnd = random.Random(55)
+    common, before, after = prose(rnd, 45), prose(rnd, 8), prose(rnd, 7)
+    rows = [(i, f"{prose(rnd, 40)} {common} {prose(rnd, 40)}", None) for i in range(60)]
+    rows += [(100 + i, f"{prose(rnd, 40)} {before} {common} {after} {prose(rnd, 40)}", None) for i in range(2)]
+    got = [(r.doc_id, r.other_doc_id, r.start_word, r.n_words) for r in passages.passages(frame(spark, rows)).collect()]
+    # 45 words in common make passages of 51 words with J = 41 / 51, so all texts are linked, and these two by more.
+    assert {(a, b) for a, b, _, _ in got} == {(a, b) for a, _, _ in rows for b, _, _ in rows if a != b}
+    assert {(100, 101, 40, 60), (101, 100, 40, 60)} <= set(got)
+
+
 @pytest.mark.parametrize("at", range(50))
 def test_passages_with_a_changed_word_are_decided_by_similarity(at):
     rng = np.random.default_rng(at)
