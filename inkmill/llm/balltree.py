@@ -8,8 +8,8 @@ only what can still be among the best.
 
 Defined results: rows without a vector or with an empty one, or with null or non-finite components, take no part; a row that is repeated as a whole
 counts once; rows of a query's own id are no candidates for it; ties go to the smaller id; null ids take no part; vectors of
-different length are only compared within their length; empty tables give empty results. Scores are exact while they fit 64
-bits, which is checked. Other columns are ignored.
+different length are only compared within their length; empty tables give empty results. Scores are exact; those of
+candidates that do not fit 64 bits are an error. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -25,6 +25,8 @@ from pyspark.sql import functions as F
 from inkmill.llm.common import saved, table
 
 SHARD_ROWS, BLOCK_ROWS, LEAF_ROWS = 8192, 256, 128
+#: Below all scores.
+NONE = -(2**63)
 
 _TREES = "dim int, shard int, n int, ids binary, vectors binary, bounds binary, centres binary, radii binary, children binary"
 _BLOCKS = "dim int, block int, ids binary, vectors binary, floors binary"
@@ -43,10 +45,33 @@ def integer_vectors(rows: DataFrame, scale: int = 256) -> DataFrame:
 
 
 def _matrix(column) -> np.ndarray:
-    found = np.stack([np.asarray(v, np.float64) for v in column])
-    if found.size and np.abs(found).max() ** 2 * found.shape[1] >= 2**53:
-        raise OverflowError("inner products of these vectors do not fit")
-    return found
+    return np.stack([np.asarray(v, np.float64) for v in column])
+
+
+def _largest(vectors: np.ndarray) -> int:
+    return int(np.abs(vectors).max()) if vectors.size else 0
+
+
+def _whole(vectors: np.ndarray) -> np.ndarray:
+    """Components as 64-bit integers."""
+    if _largest(vectors) >= 2**63:
+        raise OverflowError("components of these vectors do not fit 64 bits")
+    return vectors.astype(np.int64)
+
+
+def products(queries: np.ndarray, vectors: np.ndarray) -> np.ndarray:
+    """Exact inner products of whole numbers, as 64-bit integers where they may not fit the 53 bits of a float."""
+    largest = _largest(queries) * _largest(vectors) * queries.shape[1]
+    if largest < 2**53:
+        return queries @ vectors.T
+    one, two = _whole(queries), _whole(vectors)
+    if largest < 2**63:
+        return one @ two.T
+    # Sums of Python's integers tell which scores fit.
+    found = one.astype(object) @ two.astype(object).T
+    if max(found.max(), -found.min()) >= 2**63:
+        raise OverflowError("inner products of these vectors do not fit 64 bits")
+    return found.astype(np.int64)
 
 
 def build(vectors: np.ndarray, leaf: int = LEAF_ROWS):
@@ -91,7 +116,7 @@ def _tree_row(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
 
 def _block_row(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
     ids = rows["vec_id"].to_numpy(np.int64)
-    floors = rows["floor"].to_numpy(np.float64) if "floor" in rows else np.full(len(ids), -np.inf)
+    floors = rows["floor"].to_numpy(np.int64) if "floor" in rows else np.full(len(ids), NONE)
     return pd.DataFrame([{
         "dim": key[0], "block": key[1], "ids": ids.tobytes(), "vectors": _matrix(rows["v"]).tobytes(), "floors": floors.tobytes()
     }])
@@ -102,19 +127,21 @@ class Best:
 
     def __init__(self, ids: np.ndarray, floors: np.ndarray, k: int):
         self.own, self.k, self.floor = ids, k, floors.copy()
-        self.scores = np.full((len(ids), k), -np.inf)
+        # Integers where floors are: they hold scores beyond 53 bits.
+        self.none = -np.inf if floors.dtype.kind == "f" else NONE
+        self.scores = np.full((len(ids), k), self.none, floors.dtype)
         self.ids = np.full((len(ids), k), np.iinfo(np.int64).max)
 
     def add(self, which: np.ndarray, ids: np.ndarray, scores: np.ndarray) -> None:
         """Scores of the queries `which` with the rows `ids`."""
-        scores = np.where(ids[None, :] == self.own[which][:, None], -np.inf, scores)
+        scores = np.where(ids[None, :] == self.own[which][:, None], self.none, scores.astype(self.scores.dtype))
         hit = (scores >= self.floor[which][:, None]).any(axis=1)
         which, scores = which[hit], scores[hit]
         if not len(which):
             return
         all_scores = np.hstack([self.scores[which], scores])
         all_ids = np.hstack([self.ids[which], np.broadcast_to(ids, scores.shape)])
-        best = np.lexsort((all_ids, -all_scores), axis=1)[:, : self.k]
+        best = np.lexsort((all_ids, -all_scores if self.none != NONE else ~all_scores), axis=1)[:, : self.k]
         self.scores[which] = np.take_along_axis(all_scores, best, 1)
         self.ids[which] = np.take_along_axis(all_ids, best, 1)
         self.floor[which] = np.maximum(self.floor[which], self.scores[which][:, -1])
@@ -125,7 +152,7 @@ def search(queries: np.ndarray, best: Best, ids, vectors, bounds, centres, radii
     lengths = np.sqrt((queries**2).sum(axis=1))
 
     def upper(node: int, which: np.ndarray) -> np.ndarray:
-        reach = lengths[which] * (radii[node] + 1e-9 * (1 + np.linalg.norm(centres[node])))
+        reach = lengths[which] * (radii[node] * (1 + 1e-9) + 1e-9 * (1 + np.linalg.norm(centres[node])))
         return queries[which] @ centres[node] + reach + 1e-6
 
     everyone = np.arange(len(queries))
@@ -137,7 +164,8 @@ def search(queries: np.ndarray, best: Best, ids, vectors, bounds, centres, radii
             continue
         if children[node][0] < 0:
             lo, hi = bounds[node]
-            best.add(which, ids[lo:hi], queries[which] @ vectors[lo:hi].T)
+            scores = products(queries[which], vectors[lo:hi]) if best.none == NONE else queries[which] @ vectors[lo:hi].T
+            best.add(which, ids[lo:hi], scores)
             continue
         for child in children[node]:
             heapq.heappush(heap, (-upper(child, which).max(), int(child), which))
@@ -149,13 +177,16 @@ def _searched(k: int):
             for row in batch.itertuples():
                 read = lambda name, kind: np.frombuffer(getattr(row, name), kind)  # noqa: B023, E731
                 q_ids, queries = read("q_ids", np.int64), read("q_vectors", np.float64).reshape(-1, row.dim)
-                best = Best(q_ids, read("q_floors", np.float64), k)
+                vectors, floors = read("vectors", np.float64).reshape(row.n, row.dim), read("q_floors", np.int64)
+                if _largest(queries) * _largest(vectors) * row.dim < 2**53:
+                    floors = np.where(floors == NONE, -np.inf, floors.astype(np.float64))
+                best = Best(q_ids, floors, k)
                 search(
-                    queries, best, read("ids", np.int64), read("vectors", np.float64).reshape(row.n, row.dim),
+                    queries, best, read("ids", np.int64), vectors,
                     read("bounds", np.int64).reshape(-1, 2), read("centres", np.float64).reshape(-1, row.dim),
                     read("radii", np.float64), read("children", np.int64).reshape(-1, 2),
                 )
-                at, rank = np.nonzero((best.scores > -np.inf) & (best.scores >= best.floor[:, None]))
+                at, rank = np.nonzero((best.scores > best.none) & (best.scores >= best.floor[:, None]))
                 yield pd.DataFrame({
                     "query_id": q_ids[at], "vec_id": best.ids[at, rank], "score": best.scores[at, rank].astype(np.int64)
                 })
@@ -194,10 +225,10 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5) -> DataFrame:
 
     first = saved(_best(searched(dealt.groupBy("dim", "block").applyInPandas(_block_row, _BLOCKS), False), k).drop("rank"))
     floors = first.groupBy("query_id").agg(
-        F.when(F.count("*") >= k, F.min("score")).otherwise(F.lit(float("-inf"))).cast("double").alias("floor")
+        F.when(F.count("*") >= k, F.min("score")).otherwise(F.lit(NONE)).cast("long").alias("floor")
     )
     seeded = dealt.join(floors, F.col("vec_id") == F.col("query_id"), "left").withColumn(
-        "floor", F.coalesce("floor", F.lit(float("-inf")))
+        "floor", F.coalesce("floor", F.lit(NONE).cast("long"))
     )
     rest = searched(seeded.groupBy("dim", "block").applyInPandas(_block_row, _BLOCKS), True)
     return _best(first.unionByName(rest), k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")

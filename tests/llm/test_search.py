@@ -42,6 +42,19 @@ def test_top_k(spark, monkeypatch):
     assert balltree.top_k(empty, empty).count() == 0
 
 
+def test_top_k_of_scores_beyond_53_bits(spark, monkeypatch):
+    rnd = random.Random(12)
+    # Scores near 2**58 that differ by less than a float can tell.
+    rows = [(i, [2.0**20 + rnd.randrange(4) / 256, 2.0**20, -rnd.randrange(3) / 256, 1.0]) for i in range(200)]
+    rows += [(300 + i, [rnd.uniform(-1, 1) for _ in range(4)]) for i in range(100)]
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    monkeypatch.setattr(balltree, "SHARD_ROWS", 150)
+    found = balltree.integer_vectors(vectors)
+    got = balltree.top_k(found, found.filter(F.col("vec_id") % 50 == 0)).collect()
+    assert in_order((r.query_id, r["rank"], r.vec_id, r.score) for r in got) == best_by_force(rows)
+    assert max(r.score for r in got) > 2**53
+
+
 def test_branch_and_bound_leaves_branches_out():
     rng = np.random.default_rng(0)
     centres = rng.normal(size=(20, 8)) * 100
