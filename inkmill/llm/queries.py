@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from inkmill.llm import balltree, bpe, hosts, jaccard, licenses, lines, mixing, passages, rules, suffixes
+from inkmill.llm import balltree, bpe, chat, hosts, jaccard, licenses, lines, mixing, passages, rules, suffixes
 
 QUERIES = {
     "op1_mix": mixing.query,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_passages": passages.query,
     "op9_suffix_dedup": suffixes.query,
     "op10_url_filter": hosts.query,
+    "op11_chat_format": chat.query,
 }
 
 ORACLES = {
@@ -24,4 +25,5 @@ ORACLES = {
     "op4_topk": balltree.ORACLE,
     "op6_line_dedup": lines.ORACLE,
     "op10_url_filter": hosts.ORACLE,
+    "op11_chat_format": chat.ORACLE,
 }

@@ -15,7 +15,7 @@ from tests.llm.samples import in_order, jaccard_results, line_results, rule_meas
 @pytest.fixture(scope="module")
 def db():
     con = duckdb.connect()
-    for name in ("documents", "embeddings", "pages", "labels"):
+    for name in ("documents", "embeddings", "pages", "benchmark", "labels", "conversations"):
         con.sql(f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{SF_DIR}/{name}.parquet')")
     return con
 
@@ -29,7 +29,7 @@ def test_query_equals_sql(spark, db, name):
 
 
 def test_every_operator_has_a_query():
-    assert {int(n[2:].split("_")[0]) for n in QUERIES if n.startswith("op")} == set(range(1, 11))
+    assert {int(n[2:].split("_")[0]) for n in QUERIES if n.startswith("op")} == set(range(1, 12))
 
 
 def test_pipeline_stages(spark, db):
