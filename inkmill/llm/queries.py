@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from inkmill.llm import balltree, bpe, chat, hosts, jaccard, licenses, lines, mixing, passages, rules, suffixes
+from inkmill.llm import balltree, bpe, chat, collocations, hosts, jaccard, lexical, licenses, lines, mixing, passages, rules, suffixes
 
 QUERIES = {
     "op1_mix": mixing.query,
@@ -16,6 +16,8 @@ QUERIES = {
     "op9_suffix_dedup": suffixes.query,
     "op10_url_filter": hosts.query,
     "op11_chat_format": chat.query,
+    "op12_lexical_search": lexical.query,
+    "op13_collocations": collocations.query,
 }
 
 ORACLES = {
@@ -26,4 +28,6 @@ ORACLES = {
     "op6_line_dedup": lines.ORACLE,
     "op10_url_filter": hosts.ORACLE,
     "op11_chat_format": chat.ORACLE,
+    "op12_lexical_search": lexical.ORACLE,
+    "op13_collocations": collocations.ORACLE,
 }
