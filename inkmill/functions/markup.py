@@ -1,4 +1,4 @@
-"""Text formats to Markdown as column expressions: HTML, CSV and recognised lines."""
+"""Text formats to Markdown as column expressions: CSV and recognised lines (HTML has a module of its own)."""
 
 from __future__ import annotations
 
@@ -9,39 +9,6 @@ from pyspark.sql import functions as F
 
 from inkmill.functions.text import strip
 
-# Fixed values: (pattern, replacement) in order of application. Removing whole elements comes first, so that nothing
-# inside a script or comment is taken for a tag.
-HTML_RULES = (
-    (r"(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>|<title\b.*?</title\s*>", ""),
-    (r"(?is)<head\b.*?</head\s*>", ""),
-    (r"(?i)<h1\b[^>]*>", "\n\n# "),
-    (r"(?i)<h2\b[^>]*>", "\n\n## "),
-    (r"(?i)<h3\b[^>]*>", "\n\n### "),
-    (r"(?i)<h4\b[^>]*>", "\n\n#### "),
-    (r"(?i)<h5\b[^>]*>", "\n\n##### "),
-    (r"(?i)<h6\b[^>]*>", "\n\n###### "),
-    (r"(?i)<li\b[^>]*>", "\n* "),
-    (r"""(?is)<a\b[^>]*?\bhref\s*=\s*["']?([^"'\s>]*)[^>]*>(.*?)</a\s*>""", "[$2]($1)"),
-    (r"(?i)<br\b[^>]*>", "\n"),
-    (
-        r"(?i)</?(?:p|div|ul|ol|article|nav|footer|header|section|main|table|tr|blockquote|pre)\b[^>]*>|</h[1-6]\s*>",
-        "\n\n",
-    ),
-    (r"(?i)</?[a-z!][^>]*>", ""),
-)
-# Character references, the ampersand last.
-ENTITIES = (
-    ("&lt;", "<"),
-    ("&gt;", ">"),
-    ("&quot;", '"'),
-    ("&#39;", "'"),
-    ("&nbsp;", " "),
-    ("&middot;", "·"),
-    ("&copy;", "©"),
-    ("&amp;", "&"),
-)
-TITLE = r"(?is)<title\b[^>]*>(.*?)</title\s*>"
-
 # One CSV cell: quoted (doubled quotes inside, an open quote runs to the end) or bare, then its terminator. The
 # possessive repeats keep matching linear and off the call stack.
 CSV_CELL = r'(?<![^,\n])(?:"(?:[^"]++|"")*+(?:"|\z)[^,\n]*+|[^,\n]*+)(?:,|\n|\z)'
@@ -54,23 +21,6 @@ def _let(value: Column, body: Callable[[Column], Column]) -> Column:
 OCR_TYPE = "array<array<struct<box:array<array<double>>,info:struct<text:string,confidence:double>>>>"
 
 
-def decode_entities(text: Column) -> Column:
-    for name, char in ENTITIES:
-        text = F.replace(text, F.lit(name), F.lit(char))
-    return text
-
-
-def html_to_markdown(html: Column) -> Column:
-    for pattern, replacement in HTML_RULES:
-        html = F.regexp_replace(html, pattern, replacement)
-    return decode_entities(html)
-
-
-def html_title(html: Column) -> Column:
-    """Text of the title element; null if there is none or it is blank."""
-    return F.nullif(strip(decode_entities(F.regexp_extract(html, TITLE, 1))), F.lit(""))
-
-
 def csv_to_markdown(text: Column) -> Column:
     """A Markdown table: the first record is the header, the widest one sets the width. Blank records are left out."""
 

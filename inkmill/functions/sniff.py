@@ -17,13 +17,15 @@ SIGNATURES = (
     ("image/tiff", 0, "4D4D002A"),
 )
 ZIP_SIGNATURE = "504B0304"
-# Names found inside the packages that share the ZIP signature.
-ZIP_MEMBERS = (
-    ("application/epub+zip", "mimetypeapplication/epub+zip"),
-    ("application/vnd.openxmlformats-officedocument.wordprocessingml.document", "word/document.xml"),
-    ("application/vnd.openxmlformats-officedocument.presentationml.presentation", "ppt/presentation.xml"),
-    ("application/vnd.openxmlformats-officedocument.spreadsheetml.sheet", "xl/workbook.xml"),
-)
+# Members by which packages that share the ZIP signature are told apart, and the first member of an EPUB.
+ZIP_MEMBERS = {
+    "word/document.xml": "application/vnd.openxmlformats-officedocument.wordprocessingml.document",
+    "ppt/presentation.xml": "application/vnd.openxmlformats-officedocument.presentationml.presentation",
+    "xl/workbook.xml": "application/vnd.openxmlformats-officedocument.spreadsheetml.sheet",
+}
+EPUB_START = "mimetypeapplication/epub+zip"
+#: The end record of a package: 22 bytes and a comment of at most 65,535.
+ZIP_TAIL = 22 + 65535
 
 
 def text_type(text: Column) -> Column:
@@ -38,22 +40,98 @@ def text_type(text: Column) -> Column:
     )
 
 
-def binary_type(content: Column) -> Column:
+def _number(content: str, first: str, size: int) -> str:
+    """Little-endian number of `size` bytes from the 1-based place `first`."""
+    digits = ", ".join(f"hex(substring({content}, cast({first} + {i} AS int), 1))" for i in reversed(range(size)))
+    return f"cast(conv(concat({digits}), 16, 10) AS bigint)"
+
+
+def package_type(content: str) -> str:
+    """SQL text: type of a ZIP package by the names in its central directory.
+
+    The directory is found through the end record in the file's tail and walked entry by entry; what the members hold is not
+    looked at. A package without a readable directory, or with other names, is a plain ZIP file.
+    """
+    members = ", ".join(f"'{name}', '{kind}'" for name, kind in ZIP_MEMBERS.items())
+    name = f"cast(substring(listed, s.p + 46, {_small('listed', 's.p + 28')}) AS string)"
+    length = f"46 + {' + '.join(_small('listed', f's.p + {at}') for at in (28, 30, 32))}"
+    entry = f"""CASE WHEN s.p > 0 AND s.kind IS NULL AND hex(substring(listed, s.p, 4)) = '504B0102'
+        THEN named_struct('p', s.p + {length}, 'kind', element_at(map({members}), {name}))
+        ELSE named_struct('p', 0, 'kind', s.kind) END"""
+    walked = f"""aggregate(sequence(1, entries), named_struct('p', 1, 'kind', cast(NULL AS string)), (s, i) -> {entry}, s -> s.kind)"""
+    record = f"substring(tail, at, 22)"
+    listing = f"""transform(array(struct({_number('record', '11', 2)} AS n, {_number('record', '13', 4)} AS size, {_number('record', '17', 4)} AS first)), d ->
+        CASE WHEN d.n > 0 AND d.first + d.size <= octet_length({content})
+        THEN transform(array(substring({content}, cast(d.first + 1 AS int), cast(d.size AS int))), listed ->
+            transform(array(cast(d.n AS int)), entries -> {walked})[0])[0] END)[0]"""
+    # Latin-1 keeps one character per byte, so places in the text are places in the bytes.
+    found = f"""transform(array(substring({content}, greatest(octet_length({content}) - {ZIP_TAIL}, 0) + 1, {ZIP_TAIL})), tail ->
+        transform(array(octet_length(tail) - 2 - instr(reverse(decode(tail, 'ISO-8859-1')), decode(X'06054B50', 'ISO-8859-1'))), at ->
+            CASE WHEN at > 0 AND at <= octet_length(tail) - 21 THEN transform(array({record}), record -> {listing})[0] END)[0])[0]"""
+    epub = f"CASE WHEN cast(substring({content}, 31, {len(EPUB_START)}) AS string) = '{EPUB_START}' THEN 'application/epub+zip' END"
+    return f"coalesce({epub}, {found}, 'application/zip')"
+
+
+def _small(content: str, first: str) -> str:
+    return f"cast({_number(content, first, 2)} AS int)"
+
+
+def binary_type(content: str) -> Column:
     """Type by signature; null if none fits."""
 
-    def starts_with(first: int, digits: str) -> Column:
-        return F.hex(F.substring(content, first + 1, len(digits) // 2)) == digits
+    def starts_with(first: int, digits: str) -> str:
+        return f"hex(substring({content}, {first + 1}, {len(digits) // 2})) = '{digits}'"
+
+    cases = [f"WHEN {starts_with(0, ZIP_SIGNATURE)} THEN {package_type(content)}"]
+    cases += [f"WHEN {starts_with(first, digits)} THEN '{kind}'" for kind, first, digits in SIGNATURES]
+    return F.expr(f"CASE {' '.join(cases)} END")
 
-    found = F.lit(None).cast("string")
-    for kind, member in ZIP_MEMBERS:
-        found = F.coalesce(found, F.when(F.contains(content, F.lit(member.encode())), F.lit(kind)))
-    found = F.when(starts_with(0, ZIP_SIGNATURE), F.coalesce(found, F.lit("application/zip")))
-    for kind, first, digits in SIGNATURES:
-        found = F.coalesce(found, F.when(starts_with(first, digits), F.lit(kind)))
-    return found
+
+def _units(content: str, order: str) -> str:
+    """Two-byte units of `content` as hexadecimal digits with a blank behind each."""
+    return f"regexp_replace(hex({content}), '(..)(..)', '{order}')"
+
+
+def _paired(units: str) -> str:
+    """Every surrogate has its partner."""
+    return f"NOT {units} RLIKE r'\\bD[89AB].. (?!D[C-F])|(?<!\\bD[89AB].. )\\bD[C-F]'"
+
+
+def charset(content: str) -> Column:
+    """Character set of text: by its mark; by zero bytes at every other place; UTF-8 if it is valid; else, without control
+    characters and known signatures, a single-byte set. Null for anything else, as binary formats are."""
+    return F.expr(_charset(content))
+
+
+def _charset(content: str) -> str:
+    signed = " OR ".join(
+        f"hex(substring({content}, {first + 1}, {len(digits) // 2})) = '{digits}'"
+        for _, first, digits in (*SIGNATURES, ("", 0, ZIP_SIGNATURE))
+    )
+    little, big = _units("b", "$2$1 "), _units("b", "$1$2 ")
+    # Of the units' first bytes in big-endian order, nearly all are zero in Western text, and few of their second bytes.
+    zeros = lambda units: f"regexp_count({units}, r'\\b00')"
+    plain = lambda units: f"{_paired(units)} AND NOT {units} RLIKE r'\\b00(0[0-8EF]|1|7F)'"
+    guessed = f"""CASE WHEN octet_length(b) % 2 = 0 AND 10 * {zeros(little)} >= 2 * octet_length(b) AND 20 * {zeros(big)} <= octet_length(b)
+            AND {plain(little)} THEN 'UTF-16LE'
+        WHEN octet_length(b) % 2 = 0 AND 10 * {zeros(big)} >= 2 * octet_length(b) AND 20 * {zeros(little)} <= octet_length(b)
+            AND {plain(big)} THEN 'UTF-16BE' END"""
+    return f"""transform(array({content}), b -> CASE
+        WHEN hex(substring(b, 1, 3)) = 'EFBBBF' THEN CASE WHEN is_valid_utf8(cast(b AS string)) AND NOT contains(b, X'00') THEN 'UTF-8' END
+        WHEN hex(substring(b, 1, 2)) = 'FFFE' THEN CASE WHEN octet_length(b) % 2 = 0 AND {_paired(little)} THEN 'UTF-16LE' END
+        WHEN hex(substring(b, 1, 2)) = 'FEFF' THEN CASE WHEN octet_length(b) % 2 = 0 AND {_paired(big)} THEN 'UTF-16BE' END
+        WHEN contains(b, X'00') THEN CASE WHEN NOT ({signed}) THEN {guessed} END
+        WHEN is_valid_utf8(cast(b AS string)) THEN 'UTF-8'
+        WHEN NOT ({signed}) AND NOT decode(b, 'ISO-8859-1') RLIKE r'[\x01-\x08\x0E-\x1F\x7F]' THEN 'windows-1252' END)[0]"""
 
 
-def decoded(content: Column) -> Column:
-    """Content as text; null if it is not UTF-8 or holds NUL characters, as binary formats do."""
-    text = content.cast("string")
-    return F.when(F.is_valid_utf8(text) & ~F.contains(text, F.lit("\x00")), text)
+def decoded(content: str) -> Column:
+    """Content as text without its byte order mark, or null if it is not text. Single-byte text is read as Windows-1252, which
+    has letters and marks where Latin-1 has control characters."""
+    c1 = "".join(chr(c) for c in range(0x80, 0xA0))
+    windows = "".join(bytes([ord(c)]).decode("cp1252", errors="ignore") or c for c in c1)
+    single = f"translate(decode(b, 'ISO-8859-1'), decode(X'{c1.encode().hex()}', 'UTF-8'), decode(X'{windows.encode().hex()}', 'UTF-8'))"
+    text = f"""CASE s.c WHEN 'UTF-8' THEN cast(b AS string) WHEN 'UTF-16LE' THEN decode(b, 'UTF-16LE')
+        WHEN 'UTF-16BE' THEN decode(b, 'UTF-16BE') WHEN 'windows-1252' THEN {single} END"""
+    bound = f"transform(array(struct({_charset(content)} AS c, {content} AS b)), s -> transform(array(s.b), b -> {text})[0])[0]"
+    return F.expr(f"transform(array({bound}), t -> CASE WHEN startswith(t, decode(X'EFBBBF', 'UTF-8')) THEN substring(t, 2) ELSE t END)[0]")

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from inkmill.functions import markup, sniff
+from inkmill.functions import html, markup, sniff
 
 RESULT_TYPE = "struct<raw_md:string,title:string,extract_error:string>"
 
@@ -48,7 +48,7 @@ def standard() -> Column:
     return (
         F.when(ext.isin(*PACKAGED_EXTENSIONS), failed(F.concat(F.lit("no extractor registered for "), ext)))
         .when(text.isNull(), failed(F.lit("content is not text")))
-        .when(is_html, extracted(markup.html_to_markdown(text), markup.html_title(text)))
+        .when(is_html, extracted(html.html_to_markdown("text"), html.html_title("text")))
         .when(ext.isin(*CSV_EXTENSIONS), extracted(markup.csv_to_markdown(text)))
         .otherwise(extracted(text))
     )

@@ -61,7 +61,7 @@ def mode_by_override(ext: Column, modes: Modes) -> Column:
 def detected_type(df: DataFrame) -> Column:
     """Content type from the signature where there are bytes, else from the text."""
     by_text = sniff.text_type(F.col("text"))
-    return F.coalesce(sniff.binary_type(F.col("content")), by_text) if "content" in df.columns else by_text
+    return F.coalesce(sniff.binary_type("content"), by_text) if "content" in df.columns else by_text
 
 
 def mode_by_content(df: DataFrame) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from inkmill.functions import markup
+from inkmill.functions import html, markup
 from inkmill.operators.extraction import Extractors, extracted
 from inkmill.settings import Modes, Settings, Validation
 from inkmill.sources.tables import documents, table, with_path_parts
@@ -111,7 +111,7 @@ def tier_modes() -> dict[str, Column]:
     return {
         "standard": extracted(F.array_join(paragraphs, "\n\n")),
         "paddle_ocr": extracted(F.array_join(F.concat(headings, paragraphs), "\n\n")),
-        "ocr": extracted(markup.html_to_markdown(text), markup.html_title(text)),
+        "ocr": extracted(html.html_to_markdown("text"), html.html_title("text")),
         "high_accuracy": Extractors().get("high_accuracy")(),
     }
 
@@ -139,3 +139,81 @@ def ocr_files(spark: SparkSession, sf: str) -> DataFrame:
 
     pages = F.transform(F.split("text", "\n", -1), lambda page: F.transform(F.split(page, r"\.", -1), line))
     return rows.select("conv_id", "turn", pages.cast(markup.OCR_TYPE).alias("ocr"))
+
+
+def structured_pages(spark: SparkSession, sf: str) -> DataFrame:
+    """conversations as pages with nested and numbered lists, a pre element and a table."""
+    rows = table(spark, sf, "conversations", "conv_id", "turn", "role", "text")
+    turn, role, text = F.col("turn"), F.col("role"), F.col("text")
+    shown = F.replace(F.replace(text, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;"))
+    first = F.substring_index(shown, "\n", 1)
+    page = _text(
+        "<h2>Turn ", turn, "</h2><ol start='", turn + 1, "'><li>", role, "<ul>\n<li>", first, "</li>\n<li><b>deep</b> &hellip;</li></ul>",
+        "</li><li><p>one</p><p>two</p></ol><pre>\n", shown, "\n</pre><table>\n<tr><th>turn<th>text</tr>\n<tr><td>", turn, "</td><td>", shown,
+        "</td></tr></table>",
+    )
+    return rows.select("conv_id", "turn", page.alias("text"))
+
+
+#: Letters and how they are written as references.
+REFERENCES = (("&", "&amp;"), ("é", "&eacute;"), ("e", "&#101;"), ("o", "&#x6F;"), (" ", "&#32;"))
+MORE_REFERENCES = "&amp;lt;&#8217;&#x2014;&hellip;&unknown;&#0;&#150;&apos;&"
+
+
+def referenced_texts(spark: SparkSession, sf: str) -> DataFrame:
+    """documents with letters written as character references."""
+    text = F.coalesce("text", F.lit(""))
+    for plain, reference in REFERENCES:
+        # What earlier steps wrote holds letters too.
+        text = F.replace(text, F.lit(plain), F.lit(reference)) if plain in "&é" else F.regexp_replace(text, f"(?<![&#a-z]){plain}(?![a-z]*;)", reference)
+    return table(spark, sf, "documents", "doc_id", "text").select("doc_id", F.concat(text, F.lit(MORE_REFERENCES)).alias("text"))
+
+
+def encoded_files(spark: SparkSession, sf: str) -> DataFrame:
+    """documents as bytes in five character sets, with and without a byte order mark."""
+    rows = table(spark, sf, "documents", "doc_id", "text")
+    text = F.coalesce("text", F.lit(""))
+    latin = F.regexp_replace(text, "[^\\x00-\\xFF]", "?")
+    kinds = {
+        0: F.encode(text, "UTF-8"),
+        1: F.concat(F.unhex(F.lit("EFBBBF")), F.encode(text, "UTF-8")),
+        2: F.concat(F.unhex(F.lit("FFFE")), F.encode(text, "UTF-16LE")),
+        3: F.encode(F.concat(F.lit("Plain letters come first. "), text), "UTF-16BE"),
+        4: F.encode(latin, "ISO-8859-1"),
+    }
+    content = F.lit(None).cast("binary")
+    for kind, value in kinds.items():
+        content = F.when(F.col("doc_id") % 5 == kind, value).otherwise(content)
+    return rows.select("doc_id", content.alias("content"))
+
+
+PACKAGE_MEMBERS = ("word/document.xml", "notes/a.txt", "xl/workbook.xml", "ppt/presentation.xml", "mimetype")
+
+
+def packages(spark: SparkSession, sf: str) -> DataFrame:
+    """pages as ZIP packages of two stored members, whose content names the parts of other formats."""
+    rows = table(spark, sf, "pages", "page_id", "html")
+    kind = (F.col("page_id") % len(PACKAGE_MEMBERS)).cast("int")
+    member = F.element_at(F.array(*map(F.lit, PACKAGE_MEMBERS)), kind + 1)
+    content = F.when(member == "mimetype", F.lit("application/epub+zip")).otherwise(F.concat(F.lit("xl/workbook.xml word/document.xml "), "html"))
+    shaped = rows.select("page_id", F.explode(F.array(F.lit(False), F.lit(True))).alias("cut"), F.encode(member, "UTF-8").alias("name"), F.encode(content, "UTF-8").alias("body"))
+
+    def number(value: Column, size: int) -> Column:
+        digits = F.lpad(F.hex(value), 8, "0")
+        return F.unhex(F.concat(*[F.substring(digits, 7 - 2 * i, 2) for i in range(size)]))
+
+    def raw(digits: str) -> Column:
+        return F.unhex(F.lit(digits))
+
+    n, size = F.octet_length("name"), F.octet_length("body")
+    local = F.concat(raw("504B030414000000000000000000" + "00000000"), number(size, 4), number(size, 4), number(n, 2), raw("0000"), "name", "body")
+    entry = F.concat(
+        raw("504B010214001400000000000000000000000000"), number(size, 4), number(size, 4), number(n, 2), raw("0000" * 4 + "00000000"),
+        number(F.lit(0), 4), "name",
+    )
+    end = F.concat(
+        raw("504B0506" + "00000000" + "01000100"), number(F.octet_length("entry"), 4), number(F.octet_length("local"), 4), raw("0300"), F.encode(F.lit("end"), "UTF-8")
+    )
+    built = shaped.withColumns({"local": local, "entry": entry}).withColumn("whole", F.concat("local", "entry", end))
+    # A package that was cut short has no directory.
+    return built.select("page_id", "cut", F.when(F.col("cut"), F.col("local")).otherwise(F.col("whole")).alias("content"))

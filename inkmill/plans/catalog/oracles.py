@@ -97,6 +97,30 @@ def _title(text: str) -> str:
     return f"nullif(trim({_entities(inner)}, {BLANK_CHARS}), '')"
 
 
+# Pages by window functions: depth of lists, the link that is open, and one piece of text for each token.
+HTML_TOKENS = rf"""WITH cut AS (SELECT page_id, regexp_extract_all(html,
+    '(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>|<title\b.*?</title\s*>|<head\b.*?</head\s*>|</?[a-z!][^>]*>|[^<]+|<') AS toks FROM pages),
+tok AS (SELECT page_id, unnest(toks) AS tok, generate_subscripts(toks, 1) AS pos FROM cut),
+named AS (SELECT *, CASE WHEN tok[1] != '<' OR tok = '<' THEN 'text' WHEN regexp_matches(tok, '(?is)^<(!|(script|style|title|head)\b.*</)') THEN 'none'
+    ELSE lower(regexp_extract(tok, '^<(/?[a-zA-Z][a-zA-Z0-9]*)', 1)) END AS name,
+    regexp_extract(tok, '(?i)\bhref\s*=\s*["'']?([^"''\s>]*)', 1) AS href FROM tok),
+open AS (SELECT *, sum(CASE name WHEN 'ul' THEN 1 WHEN '/ul' THEN -1 ELSE 0 END) OVER w AS depth,
+    last_value(CASE name WHEN 'a' THEN href WHEN '/a' THEN '' END IGNORE NULLS) OVER (PARTITION BY page_id ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS link
+    FROM named WINDOW w AS (PARTITION BY page_id ORDER BY pos)),
+pieces AS (SELECT page_id, pos, CASE
+    WHEN name = 'text' THEN {_entities('tok')}
+    WHEN regexp_matches(name, '^h[1-6]$') THEN chr(10) || chr(10) || repeat('#', name[2]::int) || ' '
+    WHEN name = 'li' THEN chr(10) || repeat('  ', greatest(depth - 1, 0)::int) || '* '
+    WHEN name = 'a' THEN CASE WHEN coalesce(link, '') != '' THEN '](' || {_entities('link')} || ')' ELSE '' END || CASE WHEN href != '' THEN '[' ELSE '' END
+    WHEN name = '/a' THEN CASE WHEN coalesce(link, '') != '' THEN '](' || {_entities('link')} || ')' ELSE '' END
+    WHEN name = 'br' THEN chr(10)
+    WHEN regexp_matches(name, '^/(h[1-6])$') THEN chr(10) || chr(10)
+    WHEN name IN ('ul', '/ul') THEN CASE WHEN depth = (name = 'ul')::int THEN chr(10) || chr(10) ELSE '' END
+    WHEN ltrim(name, '/') IN ('p', 'div', 'article', 'nav', 'footer', 'header', 'section', 'main') THEN chr(10) || chr(10)
+    ELSE '' END AS piece FROM open)
+SELECT '/tiers/' || page_id || '.htm' AS path, coalesce(string_agg(piece, '' ORDER BY pos), '') AS raw_md FROM pages LEFT JOIN pieces USING (page_id) GROUP BY page_id"""
+
+
 # normalization
 
 TOKEN = "'__CODEBLOCK_' || substr(md5((i - 1)::varchar || b), 1, 12) || printf('%08x', i - 1) || substr(md5((i - 1)::varchar || b), 13, 12) || '__'"
@@ -308,7 +332,13 @@ ORACLES: dict[str, str] = {
     ),
     "sniff_bytes": """SELECT page_id, (strlen(html) + [8, 4, 8, 6, 12, 4, 4, 6, 23, 0][page_id % 10 + 1])::int AS size,
       ['application/pdf', 'image/jpeg', 'image/png', 'image/gif', 'image/webp', 'image/bmp', 'image/tiff', 'application/zip',
-       'application/vnd.openxmlformats-officedocument.wordprocessingml.document', NULL][page_id % 10 + 1] AS mime FROM pages""",
+       'application/zip', NULL][page_id % 10 + 1] AS mime FROM pages""",
+    # The kinds of packages in order; those cut short have lost their directory, but an EPUB shows at its beginning.
+    "sniff_packages": """SELECT page_id, cut, CASE WHEN cut AND page_id % 5 < 4 THEN 'application/zip' ELSE
+      ['application/vnd.openxmlformats-officedocument.wordprocessingml.document', 'application/zip',
+       'application/vnd.openxmlformats-officedocument.spreadsheetml.sheet',
+       'application/vnd.openxmlformats-officedocument.presentationml.presentation', 'application/epub+zip'][page_id % 5 + 1] END AS mime
+      FROM pages, (VALUES (false), (true)) AS c(cut)""",
     "route": _with(FILES, routed(True), select="SELECT path, mode FROM routed"),
     "route_unknown": _with(
         FILES, routed(False),
@@ -323,7 +353,20 @@ ORACLES: dict[str, str] = {
           CASE WHEN kind = 'none' THEN 'no extractor registered for ' || ext END AS extract_error FROM kinds""",
     ),
     "extract_text": "SELECT '/docs/' || source || '/' || doc_id || '.txt' AS path, text AS raw_md, NULL::varchar AS title FROM documents",
-    "extract_html": f"SELECT '/tiers/' || page_id || '.htm' AS path, {_html('html')} AS raw_md FROM pages",
+    "extract_html": HTML_TOKENS,
+    # The known parts of the pages.
+    "extract_html_structure": r"""SELECT conv_id, turn, chr(10) || chr(10) || '## Turn ' || turn || repeat(chr(10), 4)
+      || chr(10) || (turn + 1) || '. ' || role || chr(10) || chr(10) || '   * ' || split_part(text, chr(10), 1) || chr(10) || chr(10) || '   * deep …'
+      || chr(10) || (turn + 2) || '. one' || chr(10) || '   two' || chr(10) || chr(10)
+      || chr(10) || chr(10) || '```' || chr(10) || text || chr(10) || '```' || chr(10) || chr(10)
+      || chr(10) || chr(10) || chr(10) || '| turn | text |' || chr(10) || '| --- | --- |' || chr(10)
+      || '| ' || turn || ' | ' || replace(regexp_replace(text, '\s*\n\s*', ' ', 'g'), '|', '\|') || ' |' || chr(10) || chr(10) AS raw_md
+      FROM conversations""",
+    "decode_references": "SELECT doc_id, coalesce(text, '') || '&lt;’—…&unknown;\ufffd–''&' AS out FROM documents",
+    "decode_text": """SELECT doc_id, CASE WHEN doc_id % 5 IN (0, 1) THEN 'UTF-8' WHEN doc_id % 5 = 2 THEN 'UTF-16LE' WHEN doc_id % 5 = 3 THEN 'UTF-16BE'
+        WHEN strlen(latin) = length(latin) THEN 'UTF-8' ELSE 'windows-1252' END AS charset,
+      CASE doc_id % 5 WHEN 3 THEN 'Plain letters come first. ' || text WHEN 4 THEN latin ELSE text END AS out
+      FROM (SELECT doc_id, coalesce(text, '') AS text, regexp_replace(coalesce(text, ''), '[^\\x{0}-\\x{ff}]', '?', 'g') AS latin FROM documents)""",
     "extract_title": f"SELECT '/tiers/' || page_id || '.htm' AS path, {_title('html')} AS title FROM pages",
     "extract_csv": """SELECT conv_id, turn, '| turn | role | text |  |' || chr(10) || '| --- | --- | --- | --- |' || chr(10)
       || '| ' || turn || ' | ' || role || ' | ' || replace(replace(replace(text, 'é', '"'), chr(10), ' '), '|', '\\|') || ' |  |' || chr(10)

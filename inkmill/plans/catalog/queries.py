@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from inkmill.functions import markup, normalize as N, paths, sniff, validate as V
+from inkmill.functions import html, markup, normalize as N, paths, references, sniff, validate as V
 from inkmill.operators import audit, report
 from inkmill.operators.escalation import attempt_summary, escalate, next_mode, outcome, quarantine
 from inkmill.operators.extraction import Extractors, extract, extracted, standard
@@ -94,7 +94,11 @@ def sniff_mime(spark: SparkSession, sf: str) -> DataFrame:
 
 def sniff_bytes(spark: SparkSession, sf: str) -> DataFrame:
     files = inputs.byte_files(spark, sf)
-    return files.select("page_id", F.octet_length("content").alias("size"), sniff.binary_type(F.col("content")).alias("mime"))
+    return files.select("page_id", F.octet_length("content").alias("size"), sniff.binary_type("content").alias("mime"))
+
+
+def sniff_packages(spark: SparkSession, sf: str) -> DataFrame:
+    return inputs.packages(spark, sf).select("page_id", "cut", sniff.binary_type("content").alias("mime"))
 
 
 def route_all(spark: SparkSession, sf: str) -> DataFrame:
@@ -121,11 +125,25 @@ def extract_text(spark: SparkSession, sf: str) -> DataFrame:
 
 def extract_html(spark: SparkSession, sf: str) -> DataFrame:
     pages = inputs.tier_files(spark, sf)
-    return pages.select("path", markup.html_to_markdown(F.col("text")).alias("raw_md"))
+    return pages.select("path", html.html_to_markdown("text").alias("raw_md"))
+
+
+def extract_html_structure(spark: SparkSession, sf: str) -> DataFrame:
+    pages = inputs.structured_pages(spark, sf)
+    return pages.select("conv_id", "turn", html.html_to_markdown("text").alias("raw_md"))
+
+
+def decode_references(spark: SparkSession, sf: str) -> DataFrame:
+    return inputs.referenced_texts(spark, sf).select("doc_id", references.decode_references("text").alias("out"))
+
+
+def decode_text(spark: SparkSession, sf: str) -> DataFrame:
+    files = inputs.encoded_files(spark, sf)
+    return files.select("doc_id", sniff.charset("content").alias("charset"), sniff.decoded("content").alias("out"))
 
 
 def extract_title(spark: SparkSession, sf: str) -> DataFrame:
-    return inputs.tier_files(spark, sf).select("path", markup.html_title(F.col("text")).alias("title"))
+    return inputs.tier_files(spark, sf).select("path", html.html_title("text").alias("title"))
 
 
 def extract_csv(spark: SparkSession, sf: str) -> DataFrame:
@@ -367,12 +385,16 @@ QUERIES: dict[str, Query] = {
     "route_override": route_override,
     "sniff_mime": sniff_mime,
     "sniff_bytes": sniff_bytes,
+    "sniff_packages": sniff_packages,
     "route": route_all,
     "route_unknown": route_unknown,
     "extract_standard": extract_standard,
     "extract_text": extract_text,
     "extract_html": extract_html,
+    "extract_html_structure": extract_html_structure,
     "extract_title": extract_title,
+    "decode_references": decode_references,
+    "decode_text": decode_text,
     "extract_csv": extract_csv,
     "ocr_lines_to_md": ocr_lines_to_md,
     "extract_errors": extract_errors,

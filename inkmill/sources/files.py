@@ -24,7 +24,7 @@ def discover(spark: SparkSession, folder: str, recursive: bool = False) -> DataF
     return (
         with_path_parts(files)
         .filter(~F.startswith("name", F.lit(".")))
-        .withColumn("text", decoded(F.col("content")))
+        .withColumn("text", decoded("content"))
     )
 
 

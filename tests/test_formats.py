@@ -1,0 +1,134 @@
+"""HTML structure, character references, character sets and packages."""
+
+import html as standard
+import io
+import random
+import re
+import time
+import zipfile
+
+import pytest
+
+from inkmill.functions import html, references, sniff
+from inkmill.sources.files import discover
+
+
+def shown(md):
+    return re.sub(r"\n{2,}", "\n\n", md).strip("\n")
+
+
+HTML_CASES = [
+    ("<ul><li>a<ul><li>b</li><li>c</li></ul>tail</li><li>d</li></ul>end", "* a\n  * b\n  * c\n  tail\n* d\n\nend"),
+    ("<ol start=3><li>a<ol><li>i</li><li>j<ul><li>deep</ul></ol><li>b</ol>z", "3. a\n   1. i\n   2. j\n      * deep\n4. b\n\nz"),
+    ("<ul><li><p>x</p><p>y</p></li><li>one<br>two</li></ul>", "* x\n  y\n* one\n  two"),
+    ("a<pre class=c>\n  x &lt; <b>y</b>\n\n  z\n</pre>b", "a\n\n```\n  x < y\n\n  z\n```\n\nb"),
+    ("<pre>```</pre>", "~~~\n```\n~~~"),
+    ("<table><tr><th>A</th><th>B</th></tr><tr><td>1</td><td>2</td></tr></table>", "| A | B |\n| --- | --- |\n| 1 | 2 |"),
+    ("<table>\n<tr><td>1<td>x|y\n z<tr><td><p>only</p></table>after", "| 1 | x\\|y z |\n| --- | --- |\n|  only  |\n\nafter"),
+    ("<table><thead><tr><td>a<table><tr><td>in</td></tr></table></td></tr></table>", "| a   in    |\n| --- |"),
+    ("<table><tr><td>open", "| open |\n| --- |"),
+    ("<table></table>x<table><tr></tr></table>y", "x\n\ny"),
+    ("<a href='/x y'>one<a href=/z>two</a> <a>no</a> <a href=\"/q?a=1&amp;b=2\">q", "[one](/x y)[two](/z) no [q](/q?a=1&b=2)"),
+    ("</ul></li></table></td></a>3 < 4<hr><h3>t</h3>", "3 < 4\n\n---\n\n### t"),
+    ("<LI>bare</LI><TD>cell</TD>", "* barecell"),
+    ("<script>if (a < b) '<p>'</script><style>p{}</style><!-- <p> -->k<head><title>t</title></head>", "k"),
+    ("<ul><li>|pipe|</li></ul>&amp;lt;b&gt;", "* |pipe|\n\n&lt;b>"),
+]
+
+
+def test_html_structure(evaluate):
+    found = evaluate(html.html_to_markdown, [given for given, _ in HTML_CASES])
+    assert [shown(x) for x in found] == [want for _, want in HTML_CASES]
+    assert evaluate(html.html_to_markdown, [None, "", "<br>"]) == [None, "", "\n"]
+
+
+def test_many_tokens_stay_cheap(evaluate):
+    page = "<ul>" + "".join(f"<li>{i}<b>x</b></li>" for i in range(30_000)) + "</ul>"
+    evaluate(html.html_to_markdown, ["<p>warm</p>"])
+    start = time.perf_counter()
+    (found,) = evaluate(html.html_to_markdown, [page])
+    assert time.perf_counter() - start < 20
+    assert found.count("\n* ") == 30_000 and found.strip().endswith("* 29999x")
+
+
+def test_references_as_browsers_read_them(evaluate):
+    rnd = random.Random(6)
+    names = ["amp", "lt", "hellip", "eacute", "Eacute", "nbsp", "euro", "apos", "alpha", "bogus", "x"]
+    # Numbers that stand for no character, controls and non-characters, are left to the cases below.
+    numbers = [n for n in [*range(32, 127), *range(0xA0, 0x2100, 7), 0x20AC, 0x1F600, 0xFFFD, 128, 150, 159, 0, 0xD800, 0x110000, 99999999]]
+    parts = [lambda: f"&{rnd.choice(names)};", lambda: f"&#{rnd.choice(numbers)};", lambda: f"&#{rnd.choice('xX')}{rnd.choice(numbers):x};",
+             lambda: rnd.choice(["&", ";", "#", "a", "é", "&&", "&;", "&#;", "\n"])]
+    texts = ["".join(rnd.choice(parts)() for _ in range(rnd.randrange(30))) for _ in range(400)]
+    # Without its semicolon no reference counts here; the standard library also takes some of those.
+    texts = [t for t in texts if not re.search(r"&(?:#\d+|#[xX][0-9a-fA-F]+|[A-Za-z]+)(?![0-9A-Za-z;])", t)]
+    assert len(texts) > 200
+    assert evaluate(references.decode_references, texts) == [standard.unescape(t) for t in texts]
+    assert evaluate(references.decode_references, [None, "&amp;lt; &#129; $1 \\"]) == [None, "&lt; \x81 $1 \\"]
+
+
+TEXT = "Grüße, “café” — naïve\nline \U0001f600 end"
+CHARSETS = [
+    (TEXT.encode(), "UTF-8", TEXT),
+    (b"\xef\xbb\xbf" + TEXT.encode(), "UTF-8", TEXT),
+    (b"\xff\xfe" + TEXT.encode("utf-16-le"), "UTF-16LE", TEXT),
+    (b"\xfe\xff" + TEXT.encode("utf-16-be"), "UTF-16BE", TEXT),
+    (TEXT.encode("utf-16-le"), "UTF-16LE", TEXT),
+    (TEXT.encode("utf-16-be"), "UTF-16BE", TEXT),
+    ("Grüße".encode("latin-1"), "windows-1252", "Grüße"),
+    ("“q” € é".encode("cp1252"), "windows-1252", "“q” € é"),
+    (b"", "UTF-8", ""),
+    (b"\xff\xfe", "UTF-16LE", ""),
+    (b"\xff\xfea", None, None),
+    (b"\xff\xfe\x00\xd8a\x00", None, None),  # half a pair
+    (b"\xff\xfe\x00\xdca\x00", None, None),
+    (b"\x00\x01\x02\x03" * 5, None, None),
+    (b"\xff\xd8\xff\xe0abc", None, None),
+    (b"ab\xe9\x07", None, None),
+    (b"%PDF-1.4 \xe9", None, None),
+    (None, None, None),
+]
+
+
+def test_character_sets(evaluate):
+    contents = [bytearray(c) if c is not None else None for c, _, _ in CHARSETS]
+    assert evaluate(sniff.charset, contents, "c binary") == [s for _, s, _ in CHARSETS]
+    assert evaluate(sniff.decoded, contents, "c binary") == [t for _, _, t in CHARSETS]
+
+
+def test_files_in_other_character_sets_have_text(spark, tmp_path):
+    (tmp_path / "a.txt").write_bytes(b"\xff\xfe" + TEXT.encode("utf-16-le"))
+    (tmp_path / "b.txt").write_bytes("Grüße".encode("latin-1"))
+    assert {r.name: r.text for r in discover(spark, str(tmp_path)).collect()} == {"a.txt": TEXT, "b.txt": "Grüße"}
+
+
+def package(names, first=None, comment=b"", compressed=False):
+    out = io.BytesIO()
+    with zipfile.ZipFile(out, "w") as f:
+        if first:
+            f.writestr(zipfile.ZipInfo("mimetype"), first)
+        for name in names:
+            f.writestr(name, "word/document.xml xl/workbook.xml PK\5\6 é", zipfile.ZIP_DEFLATED if compressed else zipfile.ZIP_STORED)
+        f.comment = comment
+    return bytearray(out.getvalue())
+
+
+OOXML = "application/vnd.openxmlformats-officedocument."
+PACKAGES = [
+    (package(["a.txt", "word/document.xml"]), OOXML + "wordprocessingml.document"),
+    (package(["é/é.txt", "xl/workbook.xml"], comment=b"a comment PK"), OOXML + "spreadsheetml.sheet"),
+    (package([f"m{i}" for i in range(2000)] + ["ppt/presentation.xml"], compressed=True), OOXML + "presentationml.presentation"),
+    (package([], first="application/epub+zip"), "application/epub+zip"),
+    (package(["notes.txt", "xword/document.xml", "word/document.xml.bak"]), "application/zip"),
+    (package([]), None),  # only an end record: no signature of a member
+    (package(["word/document.xml"])[:60], "application/zip"),
+    (package(["word/document.xml"])[:-1], "application/zip"),
+    (bytearray(b"PK\x03\x04"), "application/zip"),
+    (bytearray(b"text that names word/document.xml PK\x05\x06"), None),
+    (bytearray(b"PK\x03\x04" + b"PK\x05\x06" + b"\xff" * 18), "application/zip"),
+]
+
+
+@pytest.mark.parametrize("i", range(len(PACKAGES)))
+def test_packages(evaluate, i):
+    content, kind = PACKAGES[i]
+    assert evaluate(sniff.binary_type, [content], "c binary") == [kind]
