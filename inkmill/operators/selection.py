@@ -8,6 +8,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from inkmill.sources.staging import kept
+
 SALTS = 32
 
 
@@ -46,6 +48,16 @@ def flag_existing(df: DataFrame, existing: DataFrame, key: str = "path") -> Data
     return flagged.withColumn("has_output", F.coalesce("has_output", F.lit(False)))
 
 
+def split_keys(keys: DataFrame, existing: DataFrame, key: str = "path") -> tuple[DataFrame, DataFrame]:
+    """Paths of the documents with earlier output, and of all others, as two written tables.
+
+    `keys` has path and, where that is the key, stem; nothing else of the documents takes part.
+    """
+    narrow = keys.select(*dict.fromkeys(["path", key])).distinct()
+    flagged = kept(flag_existing(narrow, existing, key).select("path", "has_output"))
+    return flagged.filter("has_output").select("path"), flagged.filter("NOT has_output").select("path")
+
+
 def pending(df: DataFrame, existing: DataFrame, key: str = "path", force: bool = False) -> DataFrame:
     """Only the documents without output; `force` keeps all."""
     if force:

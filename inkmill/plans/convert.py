@@ -16,10 +16,11 @@ from inkmill.operators.escalation import escalate, outcome
 from inkmill.operators.extraction import Extractors
 from inkmill.operators.report import details, failed_files, status_counts
 from inkmill.operators.routing import UNKNOWN, route
-from inkmill.operators.selection import flag_existing, where
+from inkmill.operators.membership import marked
+from inkmill.operators.selection import SALTS, split_keys
 from inkmill.settings import Settings
 from inkmill.sinks import tables as sinks
-from inkmill.sources.staging import staged
+from inkmill.sources.staging import kept, staged
 
 
 def attempted(
@@ -34,34 +35,44 @@ def attempted(
     """Outcome of every document whose key has no earlier output; those with one are skipped."""
     routed = route(docs, settings.modes, forced_mode)
     if force or existing is None:
-        marked = routed.withColumn("skip", F.lit(False))
-    elif key == "stem":
-        # Decided on key columns alone, so that the documents themselves take part in one join only, by path.
-        taken = flag_existing(docs.select("path", "stem"), existing, "stem").filter("has_output")
-        marked = routed.join(taken.select("path", F.lit(True).alias("skip")), "path", "left")
+        decided = routed.withColumn("skip", F.lit(False))
     else:
-        marked = flag_existing(routed, existing).withColumnRenamed("has_output", "skip")
+        # Decided on keys alone; the documents are read again with the answer, and never shuffled.
+        decided = marked(routed, *split_keys(docs, existing, key), "path", "skip")
     # Documents nobody can route are reported as such, whatever was written before.
-    skip = F.coalesce("skip", F.lit(False)) & (F.col("mode") != UNKNOWN)
-    return outcome(escalate(marked.withColumn("skip", skip), settings, extractors))
+    skip = F.col("skip") & (F.col("mode") != UNKNOWN)
+    return outcome(escalate(decided.withColumn("skip", skip), settings, extractors))
+
+
+def late_paths(done: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Paths of the documents whose stem's output belongs to a lower path that gave text, and of all others, as written tables.
+
+    The lowest path of a stem is a minimum, combined before the shuffle. Documents are matched with it by stem and a salt, so a stem
+    that holds a third of all documents is spread over many tasks; stems of one document are left out first.
+    """
+    rows = kept(done.select("path", "stem", (~F.col("skip") & (F.col("mode") != UNKNOWN)).alias("named"), F.col("raw_md").isNotNull().alias("text")))
+    lowest = F.min(F.when(F.col("text"), F.col("path")))
+    holders = rows.groupBy("stem").agg(lowest.alias("holder"), F.count("*").alias("n")).filter("n > 1 AND holder IS NOT NULL")
+    salts = F.sequence(F.lit(0), F.lit(SALTS - 1))
+    salted = holders.select("stem", "holder", F.explode(salts).alias("salt"))
+    named = rows.filter("named").withColumn("salt", F.pmod(F.xxhash64("path"), F.lit(SALTS)).cast("int"))
+    late = kept(named.join(salted, ["stem", "salt"]).filter(F.col("path") > F.col("holder")).select("path").distinct())
+    return late, rows.select("path").distinct().join(late, "path", "left_anti")
 
 
 def one_per_stem(done: DataFrame) -> DataFrame:
     """Documents of a stem share an output: the lowest path that gave text has it, and those after it are skipped.
 
-    Documents before it have failed without text and stay failed. The lowest path is a minimum, combined before the shuffle;
-    who comes too late is decided on key columns, and the documents are joined by path.
+    Documents before it have failed without text and stay failed. Who comes too late is decided on key columns; the documents
+    themselves are not shuffled. `done` is read several times, so it should be a written table.
     """
-    holders = where(done, F.col("raw_md").isNotNull()).groupBy("stem").agg(F.min("path").alias("holder"))
-    named = done.filter(~F.col("skip") & (F.col("mode") != UNKNOWN)).select("path", "stem")
-    late = named.join(holders, "stem").filter(F.col("path") > F.col("holder")).select("path", F.lit(True).alias("late"))
-    marked = done.join(late, "path", "left")
-    empty = {c: F.when(F.col("late").isNull(), F.col(c)) for c in _GIVEN}
-    return marked.withColumns(
+    marks = marked(done, *late_paths(done), "path", "late")
+    empty = {c: F.when(~F.col("late"), F.col(c)) for c in _GIVEN}
+    return marks.withColumns(
         {
             **empty,
             "retry_count": F.when(F.col("late"), 0).otherwise(F.col("retry_count")),
-            "skip": F.coalesce("late", "skip"),
+            "skip": F.col("late") | F.col("skip"),
             "status": F.when(F.col("late"), "skipped").otherwise(F.col("status")),
         }
     ).drop("late")
@@ -81,11 +92,12 @@ def convert(
 ) -> DataFrame:
     """Outcome of every document, one row each, in one pass.
 
-    `existing` holds the keys (`path` or `stem`) of earlier raw output. With `key="stem"` documents share an output name
-    with all others of their stem, unless forced; which one gets it is known after the attempts (see `one_per_stem`).
+    `existing` holds the keys (`path` or `stem`) of earlier raw output; which documents have one is found at once, on keys alone. With
+    `key="stem"` documents share an output name with all others of their stem, unless forced; which one gets it is known
+    after the attempts (see `one_per_stem`), so the attempts are written to the shared folder first.
     """
     done = attempted(docs, settings, extractors, existing, force, forced_mode, key)
-    return one_per_stem(done) if key == "stem" and not force else done
+    return one_per_stem(kept(done)) if key == "stem" and not force else done
 
 
 @dataclass(frozen=True)
