@@ -19,7 +19,8 @@ from inkmill.operators.selection import where
 from inkmill.settings import Settings
 
 
-_STATE = ("try_mode", "escalated_to", "retry_count", "raw_md", "title", "clean_md", "validation", "last_error")
+ATTEMPT_TYPE = f"struct<attempt:int,mode:string,validation:{VALIDATION_TYPE},error:string>"
+_STATE = ("try_mode", "escalated_to", "retry_count", "raw_md", "title", "clean_md", "validation", "last_error", "attempts")
 
 
 def following(chain: tuple[str, ...]) -> dict[str, str]:
@@ -44,10 +45,17 @@ def _begin(df: DataFrame) -> DataFrame:
             "clean_md": F.lit(None).cast("string"),
             "validation": F.lit(None).cast(VALIDATION_TYPE),
             "last_error": F.lit(None).cast("string"),
+            "attempts": F.array().cast(f"array<{ATTEMPT_TYPE}>"),
         }
     )
 
 
+def _with_attempt(active: Column, validation: Column, error: Column) -> Column:
+    """The attempts so far and this one; its number is the number of moves before it."""
+    made = F.struct(F.col("retry_count").alias("attempt"), F.col("try_mode").alias("mode"), validation.alias("validation"), error.alias("error"))
+    return F.when(active, F.array_append("attempts", made.cast(ATTEMPT_TYPE))).otherwise(F.col("attempts"))
+
+
 def _moved_on(fails: Column, active: Column, moved: Column) -> dict[str, Column]:
     retried = fails & moved.isNotNull()
     return {
@@ -72,6 +80,7 @@ def _attempt(
         "clean_md": F.when(has_text, F.col("_clean")).otherwise(F.col("clean_md")),
         "validation": F.coalesce("_v", "validation"),
         "last_error": F.coalesce(F.col("_x.extract_error"), F.col("last_error")),
+        "attempts": _with_attempt(active, F.col("_v"), F.col("_x.extract_error")),
     }
     return tried.select(*kept, *[after[name].alias(name) for name in _STATE])
 
@@ -79,14 +88,19 @@ def _attempt(
 def _refuse(df: DataFrame, active: Column, error: str, moved: Column) -> DataFrame:
     """A mode without an engine: only the error and the position in the chain change."""
     return df.withColumns(
-        {**_moved_on(active, active, moved), "last_error": F.when(active, F.lit(error)).otherwise(F.col("last_error"))}
+        {
+            **_moved_on(active, active, moved),
+            "last_error": F.when(active, F.lit(error)).otherwise(F.col("last_error")),
+            "attempts": _with_attempt(active, F.lit(None).cast(VALIDATION_TYPE), F.lit(error)),
+        }
     )
 
 
 def escalate(df: DataFrame, settings: Settings = Settings(), extractors: Extractors = Extractors()) -> DataFrame:
     """Convert routed documents (path, ext, size, text, mode, skip and whatever the extractors read).
 
-    Adds the outcome of the last attempt: raw_md, title, clean_md, validation, last_error, retry_count, escalated_to.
+    Adds the outcome of the last attempt: raw_md, title, clean_md, validation, last_error, retry_count, escalated_to; and all
+    attempts, in order.
     """
     chain = settings.modes.escalation_order()
     if len(set(chain)) != len(chain):
@@ -139,6 +153,14 @@ def outcome(df: DataFrame) -> DataFrame:
     ).withColumn("error", F.array_join("failure_reasons", "; "))
 
 
+def attempt_rows(converted: DataFrame) -> DataFrame:
+    """One row for each attempt: path, attempt, mode, validation, error. Documents that were skipped or rejected have none.
+
+    A plain `inline` would have Spark test the array's size below the long expressions that make it, and so repeat them.
+    """
+    return converted.select("path", F.inline_outer("attempts")).filter(F.col("attempt").isNotNull())
+
+
 def attempt_summary(attempts: DataFrame) -> DataFrame:
     """Fold an attempts table (path, attempt, mode, validation, error) to one row per document.
 

@@ -451,6 +451,11 @@ ORACLES: dict[str, str] = {
           arg_max(failure_reasons, attempt) FILTER (raw IS NOT NULL) AS reasons, arg_max(error, attempt) FILTER (error IS NOT NULL) AS error
           FROM tried_all GROUP BY path""",
     ),
+    "attempts_made": _with(
+        ATTEMPTS,
+        select="""SELECT path, attempt::int AS attempt, mode, passed, char_count,
+          CASE WHEN passed IS NOT NULL THEN failure_reasons END AS reasons, error FROM made""",
+    ),
     "failed_docs": _with(
         ATTEMPTS,
         select=f"SELECT path, len(failures)::int AS n_reasons, {ERROR} AS error, raw_md IS NOT NULL AS has_raw FROM outcome WHERE status = 'failed'",

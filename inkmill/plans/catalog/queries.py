@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from inkmill.functions import html, markup, normalize as N, paths, references, sniff, validate as V
 from inkmill.operators import audit, report
-from inkmill.operators.escalation import attempt_summary, escalate, next_mode, outcome, quarantine
+from inkmill.operators.escalation import attempt_rows as made_attempts, attempt_summary, escalate, next_mode, outcome, quarantine
 from inkmill.operators.extraction import Extractors, extract, extracted, standard
 from inkmill.operators.routing import (
     TYPE_MODES,
@@ -304,6 +304,13 @@ def attempt_rows(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def attempts_made(spark: SparkSession, sf: str) -> DataFrame:
+    """The attempts that a run writes: those after the first success are not made."""
+    made = made_attempts(_tiers(spark, sf))
+    reasons = _joined(F.col("validation.failure_reasons")).alias("reasons")
+    return made.select("path", "attempt", "mode", "validation.passed", "validation.char_count", reasons, "error")
+
+
 def failed_docs(spark: SparkSession, sf: str) -> DataFrame:
     failures = where(_tiers(spark, sf), F.col("status") == "failed")
     return failures.select(
@@ -425,6 +432,7 @@ QUERIES: dict[str, Query] = {
     "next_mode": next_modes,
     "escalate": escalated,
     "attempt_summary": attempt_rows,
+    "attempts_made": attempts_made,
     "failed_docs": failed_docs,
     "quarantine": quarantined,
     "conversion_log": conversion_log,

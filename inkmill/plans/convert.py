@@ -78,7 +78,7 @@ def one_per_stem(done: DataFrame) -> DataFrame:
     ).drop("late")
 
 
-_GIVEN = ("escalated_to", "raw_md", "title", "clean_md", "validation", "last_error", "failure_reasons", "error")
+_GIVEN = ("escalated_to", "raw_md", "title", "clean_md", "validation", "last_error", "failure_reasons", "error", "attempts")
 
 
 def convert(
@@ -132,7 +132,7 @@ def run_batch(
     key: str = "path",
     run_id: str | None = None,
 ) -> Run:
-    """Convert `docs` and write raw, clean, failed and logs tables below `target`.
+    """Convert `docs` and write raw, clean, failed, attempts and logs tables below `target`.
 
     The outcome is staged once, below `target`, and every table reads only its own columns of it; it is deleted when all are
     written. The reports read the log.
@@ -150,6 +150,7 @@ def run_batch(
         sinks.write_raw(result, f"{target}/raw", run_id)
         sinks.write_clean(result, f"{target}/clean", run_id)
         sinks.write_quarantine(result, f"{target}/failed", run_id)
+        sinks.write_attempts(result, f"{target}/attempts", run_id)
         log = conversion_log(
             result, F.lit(f"{target}/raw"), F.lit(f"{target}/clean"), round(time.monotonic() - started, 3)
         )

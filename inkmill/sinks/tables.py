@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from inkmill.operators.audit import stamped
-from inkmill.operators.escalation import quarantine
+from inkmill.operators.escalation import attempt_rows, quarantine
 
 
 def run_folder(target: str, run_id: str) -> str:
@@ -37,6 +37,11 @@ def write_quarantine(converted: DataFrame, target: str, run_id: str) -> None:
     _write_run(quarantine(converted), target, run_id)
 
 
+def write_attempts(converted: DataFrame, target: str, run_id: str) -> None:
+    """Every attempt of every document; `attempt_summary` folds them to what the log says."""
+    _write_run(attempt_rows(converted), target, run_id)
+
+
 def write_log(log: DataFrame, target: str, run_id: str) -> None:
     """Audit records as JSON lines, nulls included."""
     _write_run(stamped(log), target, run_id, "json")
