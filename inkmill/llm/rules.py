@@ -92,8 +92,9 @@ def measured(rows: DataFrame, hash_bits: int = 64) -> DataFrame:
     clash = f"exists(transform(p, (x, i) -> i > 0 AND (x & ~low) = (get(p, i - 1) & ~low) AND ({differ})), b -> b)"
     text = "concat_ws(' ', get(w, i), get(w, i + 1), get(w, i + 2))"
     by_words = f"sort_array(transform(sequence(0, n - 3), i -> struct({text} AS g, i AS i)))"
-    exact = f"""transform(filter(transform({by_words}, (y, k) -> struct(y.g AS g, y.i AS i, k AS k)),
-                 y -> get({by_words}.g, y.k - 1) = y.g OR get({by_words}.g, y.k + 1) = y.g), y -> y.i)"""
+    # Sorted once and bound to a name: equal windows are neighbours there.
+    exact = f"""transform(array({by_words}), s -> transform(filter(transform(s, (y, k) -> struct(y.g AS g, y.i AS i, k AS k)),
+                 y -> get(s, y.k - 1).g = y.g OR get(s, y.k + 1).g = y.g), y -> y.i))[0]"""
     placed = paired.selectExpr(
         *keep, *done, f"sort_array(CASE WHEN {clash} THEN {exact} ELSE transform(p, x -> {at}) END) AS p"
     )

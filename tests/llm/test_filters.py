@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import time
 
 from inkmill.llm import hosts, licenses, lines, mixing, rules
 from tests.llm.samples import edge_rows, frame, in_order, line_results, prose, rule_measures, words
@@ -168,3 +169,14 @@ def test_url_rules_and_reputation(spark):
     assert 0 < got[100].mean < got[7].mean < got[300].mean < 1
     assert hosts.judged(pages.limit(0), labels).count() == 0
     assert {r.verdict for r in hosts.judged(pages.filter("page_id >= 100"), labels.limit(0)).collect()} == {"allow"}
+
+
+def test_long_texts_with_clashing_windows_stay_cheap(spark):
+    rnd = random.Random(9)
+    text = " ".join(str(rnd.randrange(60)) for _ in range(100_000))
+    rows = spark.createDataFrame([(1, text)], "i int, t string")
+    rules.measured(rows.limit(0), 2).collect()
+    start = time.perf_counter()
+    (row,) = rules.measured(rows, 2).collect()
+    assert time.perf_counter() - start < 15
+    assert row.n_repeat_words == rule_measures(text)[4]
