@@ -253,7 +253,9 @@ def repeated_offsets(before: list[bytes], after: list[bytes], twice: np.ndarray,
     right, right_len = _padded(after, length, False)
 
     def order(rows, lengths):
-        place = np.lexsort((lengths, rows.view(np.dtype((np.void, rows.shape[1]))).ravel().argsort(kind="stable").argsort()))
+        # Equal contents have one rank, so that of those the shorter come first: they differ in NUL bytes at the end.
+        _, rank = np.unique(rows.view(np.dtype((np.void, rows.shape[1]))).ravel(), return_inverse=True)
+        place = np.lexsort((lengths, rank.ravel()))
         return place, _agreement(rows, lengths, place[:-1], place[1:])
 
     if n == 1:

@@ -251,6 +251,33 @@ def test_repeated_substrings(spark, hot):
     assert in_order(got) == in_order(repeat_results(rows, 40))
 
 
+def test_repeated_substrings_that_end_in_nul(spark):
+    """Texts that differ only in NUL bytes at an end are different."""
+    rnd = random.Random(17)
+    parts = ["".join(rnd.choice("ab\0") for _ in range(14)) for _ in range(3)]
+    rows = [(i, "".join(rnd.choice([rnd.choice(parts), "\0" * rnd.randrange(1, 9), rnd.choice("ab"), "\0"]) for _ in range(rnd.randrange(1, 9))), None) for i in range(300)]
+    rows += [(400, "x" * 12, None), (401, "x" * 12 + "\0", None), (402, "x" * 12 + "\0\0", None), (403, "\0" * 30, None)]
+    found = suffixes.without_repeats(frame(spark, rows), 12, 4).collect()
+    got = [(r.doc_id, r.n_bytes, sum(s.stop - s.start for s in r.spans), len(r.spans), hashlib.sha256(r.kept).hexdigest()) for r in found]
+    assert in_order(got) == in_order(repeat_results(rows, 12))
+
+
+def test_offsets_of_anchors_with_nul_bytes():
+    rnd = random.Random(23)
+    for _ in range(600):
+        n = rnd.randrange(2, 7)
+        pick = lambda most: bytes(rnd.choice(b"\0\0a") for _ in range(rnd.randrange(most)))
+        before, after = [pick(4) for _ in range(n)], [b"g" + pick(4) for _ in range(n)]
+        if len(set(zip(before, after, strict=True))) < n:
+            continue
+        twice = np.array([rnd.random() < 0.2 for _ in range(n)])
+        found = suffixes.repeated_offsets(before, after, twice, 4, 1)
+        for i in range(n):
+            string = lambda k, o: before[k][len(before[k]) - o :] + after[k][: 4 - o] if o <= len(before[k]) and 4 - o <= len(after[k]) else None
+            want = {o for o in range(4) if string(i, o) is not None and (twice[i] or any(string(k, o) == string(i, o) for k in range(n) if k != i))}
+            assert {o for a, b in found[i] for o in range(a, b + 1)} == want
+
+
 def test_repeated_substrings_at_full_length_and_of_nothing(spark):
     rows = edge_rows()
     docs = frame(spark, rows)
