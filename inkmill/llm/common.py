@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import functools
+import shutil
 import tempfile
 import uuid
 
@@ -16,7 +18,9 @@ WORD = rf"[^{SPACE}]+"
 
 @functools.cache
 def _own_folder() -> str:
-    return tempfile.mkdtemp(prefix="inkmill-llm-")
+    folder = tempfile.mkdtemp(prefix="inkmill-llm-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return folder
 
 
 def scratch(spark: SparkSession) -> str:
@@ -33,7 +37,18 @@ def saved(df: DataFrame) -> DataFrame:
     """Write once and read back: cuts the lineage, and lost executors lose nothing of it."""
     target = scratch(df.sparkSession)
     df.write.parquet(target)
-    return df.sparkSession.read.schema(df.schema).parquet(target)
+    table = df.sparkSession.read.schema(df.schema).parquet(target)
+    table.saved_at = target
+    return table
+
+
+def dropped(*tables: DataFrame) -> None:
+    """Delete saved tables that nothing reads any more: what was made of them has been written."""
+    for table in tables:
+        if target := getattr(table, "saved_at", None):
+            spark = table.sparkSession
+            path = spark._jvm.org.apache.hadoop.fs.Path(target)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from inkmill.llm.common import saved
+from inkmill.llm.common import dropped, saved
 
 
 def connected(links: DataFrame) -> DataFrame:
@@ -16,6 +16,7 @@ def connected(links: DataFrame) -> DataFrame:
     """
     edges = saved(links.select("a", "b").union(links.select("b", "a")).distinct())
     labels = saved(edges.groupBy(F.col("a").alias("node")).agg(F.least(F.first("a"), F.min("b")).alias("component")))
+    written = labels
     while True:
         near = (
             edges.join(labels.withColumnRenamed("node", "b"), "b")
@@ -27,6 +28,9 @@ def connected(links: DataFrame) -> DataFrame:
         jump = lower.select(F.col("node").alias("low"), F.col("low").alias("lowest"))
         following = saved(lower.join(jump, "low").select("node", F.col("lowest").alias("component"), F.col("component").alias("was")))
         moved = following.filter("component != was").limit(1).count()
-        labels = following.drop("was")
+        dropped(written, lower)
+        written, labels = following, following.drop("was")
         if not moved:
+            dropped(edges)
+            labels.saved_at = written.saved_at
             return labels

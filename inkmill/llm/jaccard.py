@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from inkmill.llm.common import packed, saved, whole_text
+from inkmill.llm.common import dropped, packed, saved, whole_text
 from inkmill.llm.components import connected
 from inkmill.llm.lookup import chosen, id_bits, placed
 from inkmill.llm.shingles import fingerprint, mixed, sequences
@@ -245,7 +245,9 @@ def links(docs: DataFrame, profile: DataFrame) -> DataFrame:
             _sets(spark.sparkContext.broadcast(bits)), "doc_id long, fp long, members binary"
         )
         one = members.join(wanted.withColumnRenamed("doc_id", "stand"), "fp").filter("doc_id = stand")
-        return saved(one.select("fp", "members").dropDuplicates(["fp"]))
+        found = saved(one.select("fp", "members").dropDuplicates(["fp"]))
+        dropped(wanted)
+        return found
 
     def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
         left = sets.select(F.col("fp").alias("a"), F.col("members").alias("x"))
@@ -254,13 +256,18 @@ def links(docs: DataFrame, profile: DataFrame) -> DataFrame:
         return saved(joined.mapInArrow(_compared, "a long, b long"))
 
     known = spark.createDataFrame([], "node long, component long")
-    sets = spark.createDataFrame([], "fp long, members binary")
+    sets, fetches = spark.createDataFrame([], "fp long, members binary"), []
     for turn in range(ROUNDS + 1):
         now = lists.join(known.withColumnRenamed("node", "fp"), "fp", "left").withColumn("component", F.coalesce("component", "fp"))
         pairs = saved(_ordered(_chained(now, turn) if turn < ROUNDS else _crossing(now)))
         held = pairs.select(F.col("a").alias("fp")).union(pairs.select("b")).distinct()
-        sets = sets.union(fetched(held.join(sets.select("fp"), "fp", "left_anti")))
-        known = _merged(known, verified(pairs, sets))
+        fetches.append(fetched(held.join(sets.select("fp"), "fp", "left_anti")))
+        sets = sets.union(fetches[-1])
+        agreed = verified(pairs, sets)
+        merged = _merged(known, agreed)
+        dropped(pairs, agreed, known)
+        known = merged
+    dropped(lists, stands, *fetches)
     return known.select(F.col("node").alias("fp"), "component")
 
 
@@ -273,7 +280,9 @@ def _merged(known: DataFrame, found: DataFrame) -> DataFrame:
     named = named.join(nodes.select(F.col("node").alias("b"), F.col("component").alias("y")), "b")
     upper = connected(named.filter("x != y").select(F.col("x").alias("a"), F.col("y").alias("b")))
     renamed = nodes.join(upper.select(F.col("node").alias("component"), F.col("component").alias("upper")), "component", "left")
-    return saved(renamed.select("node", F.coalesce("upper", "component").alias("component")))
+    merged = saved(renamed.select("node", F.coalesce("upper", "component").alias("component")))
+    dropped(nodes, upper)
+    return merged
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
