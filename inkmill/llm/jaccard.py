@@ -12,10 +12,15 @@ by a frequency sketch of fixed size over all documents, so that passages which v
 ever meet. It only decides which shingles are first: results never depend on the sketch.
 
 Classes that meet are links if the sizes of their sets, and the places of the shared shingle, allow it and the sets, compared
-in full, reach the threshold. A group of g classes that all meet must not cost g * g comparisons when a few links connect it:
-lists are first linked along an order, neighbour by neighbour, more than once, and components are formed; at last every
-remaining pair of a list that lies in different components is compared, so that no link is lost. Only classes in pairs that
-passed the filters have their sets fetched.
+in full, reach the threshold. Before sets are compared, their signatures are: one bit per cell of a hash table, which says
+whether the cell holds an odd number of shingles. Every bit that differs needs a shingle that only one set has, so signatures
+that differ in more bits than two linked sets may differ in shingles rule the pair out; a signature has a thirtieth of a set.
+
+A group of g classes that all meet must not cost g * g comparisons when a few links connect it: lists are first linked along
+an order, each class with the next ones, more of them in each round, and components are formed; at last every remaining pair
+of a list that lies in different components is compared, in cells of bounded size, so that no link is lost. A list is done
+when all its classes are connected, or when all were among each other's next ones. Only classes in pairs that passed the
+filters have their sets fetched.
 
 Shingles and sets are compared by 64-bit hashes of their words; the chance of one wrong link is about the squared number of
 shingles in two documents over 2**64.
@@ -27,6 +32,7 @@ gives an empty result. Other columns are ignored, or kept as they are by `one_of
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -45,7 +51,10 @@ PART, WHOLE = 3, 4
 SKETCH_BITS, SKETCH_PARTS = 20, 64
 #: Cost of following an entry of an inverted list, in emitted entries; and the largest set that may be light.
 SCAN_COST, LARGEST_LIGHT = 2.0, 64
-ROUNDS = 2
+#: Next classes of its list that a class is compared with, in each round; then come all that are left.
+REACH = (1, 8, 32)
+#: Classes of a list on one side of a cell when all pairs are compared; largest signature in bits (a power of two).
+CELL, LARGEST_SIGNATURE = 512, 1 << 17
 #: Classes a task remembers, so that it emits copies once.
 REMEMBERED = 200_000
 
@@ -60,28 +69,58 @@ def prefix(n, shared=1):
     return np.minimum(n, n - -(-PART * n // WHOLE) + shared)
 
 
+def signature(distinct: np.ndarray) -> bytes:
+    """Parities of the cells of a hash table with two to four cells a shingle (up to the largest size)."""
+    cells = min(LARGEST_SIGNATURE, max(64, 1 << int(2 * len(distinct) - 1).bit_length()))
+    odd = np.bincount((distinct & np.uint64(cells - 1)).astype(np.int64), minlength=cells) & 1
+    return np.packbits(odd.astype(np.uint8)).tobytes()
+
+
+def differing(one: np.ndarray, two: np.ndarray) -> int:
+    """Cells in which two signatures (64-bit words) differ; the larger table is folded to the size of the other."""
+    while len(one) != len(two):
+        one, two = (one, two) if len(one) > len(two) else (two, one)
+        one = one[: len(one) // 2] ^ one[len(one) // 2 :]
+    return int(np.bitwise_count(one ^ two).sum())
+
+
+def _promising(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs whose signatures differ in no more cells than linked sets of their sizes may differ in shingles."""
+    for batch in batches:
+        n, m = (batch.column(c).to_numpy().astype(np.int64) for c in ("n", "m"))
+        most = n + m - 2 * least_overlap(n, m)
+        sides = zip(batch.column("x"), batch.column("y"), strict=True)
+        apart = [differing(*(np.frombuffer(v.as_buffer(), np.uint64) for v in pair)) for pair in sides]
+        hit = pa.array(np.array(apart, np.int64) <= most)
+        yield pa.RecordBatch.from_arrays([batch.column("a").filter(hit), batch.column("b").filter(hit)], ["a", "b"])
+
+
 def _profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per document its set size and fingerprint; per task the parts of its frequency sketch."""
+    """Per document its set size, fingerprint and signature; per task the parts of its frequency sketch."""
     counts = np.zeros(1 << SKETCH_BITS, np.uint32)
     mask = np.uint64((1 << SKETCH_BITS) - 1)
     empty = pa.binary()
     for batch in batches:
-        n, prints = [], []
+        n, prints, signs = [], [], []
         for _, found, _ in sequences(batch.column("text"), SIZE):
             distinct = np.unique(found)
+            signs.append(signature(distinct) if len(distinct) > 1 else None)
             np.add.at(counts, (distinct & mask).astype(np.int64), 1)
             n.append(len(distinct))
             prints.append(fingerprint(distinct))
         rows = batch.num_rows
         yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(prints, pa.int64()), pa.nulls(rows, pa.int32()), pa.nulls(rows, empty)],
-            ["doc_id", "n", "fp", "part", "counts"],
+            [
+                batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(prints, pa.int64()), pa.array(signs, empty),
+                pa.nulls(rows, pa.int32()), pa.nulls(rows, empty),
+            ],
+            ["doc_id", "n", "fp", "sign", "part", "counts"],
         )
     parts = [p.tobytes() for p in np.split(counts, SKETCH_PARTS)]
     k = len(parts)
     yield pa.RecordBatch.from_arrays(
-        [pa.nulls(k, pa.int64()), pa.nulls(k, pa.int64()), pa.nulls(k, pa.int64()), pa.array(range(k), pa.int32()), pa.array(parts, empty)],
-        ["doc_id", "n", "fp", "part", "counts"],
+        [*[pa.nulls(k, pa.int64())] * 3, pa.nulls(k, empty), pa.array(range(k), pa.int32()), pa.array(parts, empty)],
+        ["doc_id", "n", "fp", "sign", "part", "counts"],
     )
 
 
@@ -179,19 +218,31 @@ _CAN_LINK = f"""{PART} * greatest(n, m) <= {WHOLE} * least(n, m)
 
 
 def _chained(lists: DataFrame, turn: int) -> DataFrame:
-    """Pairs of neighbours along one order of each list, where they lie in different components."""
-    order = Window.partitionBy("key").orderBy(F.xxhash64("fp", F.lit(turn)), "fp")
-    names = {"b": "fp", "m": "n", "bt": "at", "other": "component"}
-    pairs = lists.withColumns({new: F.lag(old).over(order) for new, old in names.items()})
-    return pairs.filter(f"b IS NOT NULL AND component != other AND {_CAN_LINK}").select(F.col("fp").alias("a"), "b")
+    """Pairs of each class with the next ones along one order of its list, where they lie in different components."""
+    order = Window.partitionBy("key").orderBy(F.xxhash64("fp", F.lit(turn)), "fp").rowsBetween(-REACH[turn], -1)
+    entry = F.struct(F.col("fp").alias("b"), F.col("n").alias("m"), F.col("at").alias("bt"), F.col("component").alias("other"))
+    near = lists.withColumn("near", F.collect_list(entry).over(order))
+    test = re.sub(r"\b(m|bt)\b", r"e.\1", _CAN_LINK)
+    return near.select(F.col("fp").alias("a"), F.expr(f"explode(filter(near, e -> e.other != component AND {test}).b) AS b"))
+
+
+def _open(lists: DataFrame, known: DataFrame, reach: int) -> DataFrame:
+    """The lists, with components and their number of classes, that may hold links between components which no round has compared.
+
+    After a round, a list of at most reach + 1 classes has been compared in full.
+    """
+    now = lists.select("key", "fp", "n", "at").join(known.withColumnRenamed("node", "fp"), "fp", "left")
+    now = now.withColumn("component", F.coalesce("component", "fp"))
+    sums = now.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.count("*").alias("many"))
+    return now.join(sums.filter(f"x != y AND many > {reach + 1}").select("key", "many"), "key")
 
 
 def _crossing(lists: DataFrame) -> DataFrame:
-    """All pairs of a list that lie in different components, of lists that have more than one."""
-    mixed_keys = lists.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x != y").select("key")
-    rest = lists.join(mixed_keys, "key", "left_semi")
-    other = rest.selectExpr("key", "fp AS b", "n AS m", "at AS bt", "component AS other")
-    return rest.join(other, "key").filter(f"fp < b AND component != other AND {_CAN_LINK}").select(F.col("fp").alias("a"), "b")
+    """All pairs of a list that lie in different components; a long list is dealt to cells of at most CELL classes by all."""
+    cells = lists.withColumn("cells", F.expr(f"cast(ceil(many / {CELL}) AS int)"))
+    rest = cells.withColumn("cell", F.expr("cast(pmod(xxhash64(fp), cells) AS int)"))
+    other = cells.selectExpr("key", "fp AS b", "n AS m", "at AS bt", "component AS other", "explode(sequence(0, cells - 1)) AS cell")
+    return rest.join(other, ["key", "cell"]).filter(f"fp < b AND component != other AND {_CAN_LINK}").select(F.col("fp").alias("a"), "b")
 
 
 def _ordered(pairs: DataFrame) -> DataFrame:
@@ -226,15 +277,15 @@ def _sets(bits):
 
 
 def links(docs: DataFrame, profile: DataFrame) -> DataFrame:
-    """component of each linked class (fp) of the documents in `profile` (doc_id, n, fp)."""
+    """component of each linked class (fp) of the documents in `profile` (doc_id, n, fp, sign)."""
     spark = docs.sparkSession
     sketch = spark.sparkContext.broadcast(_sketch(profile))
     classes = profile.filter("n > 1 AND n <= " + str(LARGEST_LIGHT * 2)).groupBy("n").agg(F.count_distinct("fp").alias("many"))
     limit = boundary([tuple(r) for r in classes.collect()])  # one row for each of the small sizes
     entries = docs.select("doc_id", "text").mapInArrow(_entries(sketch, limit), "key long, fp long, n int, at int")
     lists = saved(_shared(entries))
-    # One document stands for each class.
-    heads = profile.filter("n > 1").groupBy("fp").agg(F.min("doc_id").alias("stand"))
+    # One document stands for each class; equal sets have equal signatures.
+    heads = profile.filter("n > 1").groupBy("fp").agg(F.min("doc_id").alias("stand"), F.first("n").alias("n"), F.first("sign").alias("sign"))
     stands = saved(heads.join(lists.select("fp").distinct(), "fp", "left_semi"))
 
     def fetched(classes: DataFrame) -> DataFrame:
@@ -249,6 +300,12 @@ def links(docs: DataFrame, profile: DataFrame) -> DataFrame:
         dropped(wanted)
         return found
 
+    def promising(pairs: DataFrame) -> DataFrame:
+        left = stands.select(F.col("fp").alias("a"), "n", F.col("sign").alias("x"))
+        right = stands.select(F.col("fp").alias("b"), F.col("n").alias("m"), F.col("sign").alias("y"))
+        joined = _ordered(pairs).join(left, "a").join(right, "b").select("a", "b", "n", "m", "x", "y")
+        return saved(joined.mapInArrow(_promising, "a long, b long"))
+
     def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
         left = sets.select(F.col("fp").alias("a"), F.col("members").alias("x"))
         right = sets.select(F.col("fp").alias("b"), F.col("members").alias("y"))
@@ -257,9 +314,13 @@ def links(docs: DataFrame, profile: DataFrame) -> DataFrame:
 
     known = spark.createDataFrame([], "node long, component long")
     sets, fetches = spark.createDataFrame([], "fp long, members binary"), []
-    for turn in range(ROUNDS + 1):
-        now = lists.join(known.withColumnRenamed("node", "fp"), "fp", "left").withColumn("component", F.coalesce("component", "fp"))
-        pairs = saved(_ordered(_chained(now, turn) if turn < ROUNDS else _crossing(now)))
+    for turn in range(len(REACH) + 1):
+        following = saved(_open(lists, known, REACH[turn - 1] if turn else 0))
+        dropped(lists)
+        lists = following
+        if lists.isEmpty():
+            break
+        pairs = promising(_chained(lists, turn) if turn < len(REACH) else _crossing(lists))
         held = pairs.select(F.col("a").alias("fp")).union(pairs.select("b")).distinct()
         fetches.append(fetched(held.join(sets.select("fp"), "fp", "left_anti")))
         sets = sets.union(fetches[-1])
@@ -288,7 +349,7 @@ def _merged(known: DataFrame, found: DataFrame) -> DataFrame:
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles and component_id, the smallest id reachable by links, of every document."""
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text"))
-    found = saved(texts.mapInArrow(_profile, "doc_id long, n long, fp long, part int, counts binary"))
+    found = saved(texts.mapInArrow(_profile, "doc_id long, n long, fp long, sign binary, part int, counts binary"))
     rows = found.filter("part IS NULL").select("doc_id", "n", "fp")
     known = links(texts.filter("doc_id IS NOT NULL"), found.filter("part IS NOT NULL OR doc_id IS NOT NULL"))
     named = rows.join(known, "fp", "left").withColumn("component", F.coalesce("component", "fp"))

@@ -83,10 +83,11 @@ def near_rows(seed):
     return rows
 
 
-@pytest.mark.parametrize("rounds", [2, 0])
-def test_jaccard_join(spark, monkeypatch, rounds):
-    monkeypatch.setattr(jaccard, "ROUNDS", rounds)
-    rows = near_rows(21 + rounds)
+@pytest.mark.parametrize("reach", [(1, 8, 32), (1, 2), ()])
+def test_jaccard_join(spark, monkeypatch, reach):
+    monkeypatch.setattr(jaccard, "REACH", reach)
+    monkeypatch.setattr(jaccard, "CELL", 512 if reach else 3)
+    rows = near_rows(21 + len(reach))
     docs = frame(spark, rows)
     want = jaccard_results(rows)
     got = jaccard.near_duplicates(docs).collect()
@@ -98,6 +99,29 @@ def test_jaccard_join(spark, monkeypatch, rounds):
     assert in_order(r.doc_id for r in kept.collect()) == in_order(i for i, _, _ in rows if i is None or want[i][1] == i)
 
 
+def test_signatures_never_rule_out_a_link():
+    rnd = np.random.default_rng(5)
+    pruned = 0
+    for _ in range(400):
+        n, m, shared = rnd.integers(2, 400), rnd.integers(2, 400), rnd.random()
+        pool = rnd.integers(0, 2**63, n + m).astype(np.uint64)
+        one = np.unique(pool[:n])
+        two = np.unique(np.concatenate([pool[: int(shared * min(n, m))], pool[n : n + m - int(shared * min(n, m))]]))
+        apart = len(np.setxor1d(one, two))
+        found = jaccard.differing(*(np.frombuffer(jaccard.signature(x), np.uint64) for x in (one, two)))
+        assert found <= apart and found % 2 == apart % 2
+        pruned += found > len(one) + len(two) - 2 * jaccard.least_overlap(len(one), len(two))
+    assert pruned > 200
+
+
+def test_signatures_of_the_largest_sets(monkeypatch):
+    monkeypatch.setattr(jaccard, "LARGEST_SIGNATURE", 64)
+    sets = [np.unique(np.random.default_rng(k).integers(0, 2**63, 5000).astype(np.uint64)) for k in (1, 2)]
+    signs = [np.frombuffer(jaccard.signature(x), np.uint64) for x in sets]
+    assert [len(x) for x in signs] == [1, 1]
+    assert jaccard.differing(*signs) <= 64 and jaccard.differing(signs[0], signs[0]) == 0
+
+
 def test_jaccard_join_of_nothing(spark):
     docs = frame(spark, edge_rows())
     assert jaccard.near_duplicates(docs.limit(0)).count() == 0
