@@ -315,12 +315,14 @@ def links(docs: DataFrame, profile: DataFrame) -> DataFrame:
     known = spark.createDataFrame([], "node long, component long")
     sets, fetches = spark.createDataFrame([], "fp long, members binary"), []
     for turn in range(len(REACH) + 1):
-        following = saved(_open(lists, known, REACH[turn - 1] if turn else 0))
-        dropped(lists)
-        lists = following
-        if lists.isEmpty():
-            break
-        pairs = promising(_chained(lists, turn) if turn < len(REACH) else _crossing(lists))
+        if turn or not REACH:
+            following = saved(_open(lists, known, REACH[turn - 1] if turn else 0))
+            dropped(lists)
+            lists = following
+            if lists.isEmpty():
+                break
+        now = lists if turn else lists.withColumn("component", F.col("fp"))
+        pairs = promising(_chained(now, turn) if turn < len(REACH) else _crossing(now))
         held = pairs.select(F.col("a").alias("fp")).union(pairs.select("b")).distinct()
         fetches.append(fetched(held.join(sets.select("fp"), "fp", "left_anti")))
         sets = sets.union(fetches[-1])
