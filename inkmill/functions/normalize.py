@@ -12,15 +12,13 @@ import re
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from inkmill.functions.repeats import collapsed_line
 from inkmill.functions.text import BLANKS, INLINE_BLANKS, WS, ends_blank, let, lines, sql_text, starts_blank
 from inkmill.settings import Normalization
 
 # Fixed values.
 FENCED_BLOCK = r"(?s)```[^\n]*\n.*?```|~~~[^\n]*\n.*?~~~"
 TOKEN_PREFIX, TOKEN_SUFFIX = "__CODEBLOCK_", "__"
-MIN_TOKEN_LENGTH, MIN_TOKEN_REPEATS = 10, 3
-#: Places of a line's start of which all distances are looked at.
-MOST_PLACES = 64
 
 TOKEN_PATTERN = f"{TOKEN_PREFIX}[0-9a-f]{{32}}{TOKEN_SUFFIX}"
 
@@ -88,68 +86,6 @@ def _kept_lines(text: str) -> str:
     return f"filter({lines(text)}, line -> NOT ({empty}))"
 
 
-def _longest_recurring_prefix(line: str) -> str:
-    """Largest L such that the first L characters occur again at or after position 2L (0 if there is none).
-
-    Three copies of a prefix in a row put one of them there, so L bounds the length of every collapsible token. A
-    shorter prefix recurs wherever a longer one does, so bisection finds L with about log2(n) searches.
-    """
-    third = f"cast(length({line}) DIV {MIN_TOKEN_REPEATS} AS int)"
-    halve = let(
-        "mid",
-        "cast((b.lo + b.hi + 1) DIV 2 AS int)",
-        f"""CASE WHEN position(left({line}, mid), {line}, 2 * mid + 1) > 0
-            THEN named_struct('lo', mid, 'hi', b.hi) ELSE named_struct('lo', b.lo, 'hi', mid - 1) END""",
-    )
-    return f"""aggregate(sequence(1, cast(ceil(log2({third} + 1)) AS int) + 1), named_struct('lo', 0, 'hi', {third}),
-        (b, step) -> CASE WHEN b.lo >= b.hi THEN b ELSE {halve} END, b -> b.lo)"""
-
-
-def _possible_lengths(line: str) -> str:
-    """Token lengths for which the line's first characters stand three times at equal distances; null where they stand at too
-    many places to look at all distances, and every length has to be tried."""
-    place = f"position(left({line}, {MIN_TOKEN_LENGTH}), {line}, g.at + 1)"
-    step = let(
-        "q",
-        place,
-        """CASE WHEN g.at < 0 OR q = 0 THEN named_struct('at', -1, 'found', g.found)
-            ELSE named_struct('at', q, 'found', array_append(g.found, q)) END""",
-    )
-    start = "named_struct('at', 0, 'found', cast(array() AS array<int>))"
-    found = f"aggregate(sequence(1, {MOST_PLACES + 1}), {start}, (g, turn) -> {step}, g -> g.found)"
-    distances = "array_distinct(flatten(transform(places, u -> transform(places, v -> v - u))))"
-    three = "exists(places, u -> array_contains(places, u + d) AND array_contains(places, u + 2 * d))"
-    return let(
-        "places",
-        found,
-        f"""CASE WHEN size(places) <= {MOST_PLACES}
-            THEN filter({distances}, d -> d >= {MIN_TOKEN_LENGTH} AND {three}) END""",
-    )
-
-
-def _collapse_line(line: str) -> str:
-    # A step copies its state, so that holds the places cut out so far and not the line.
-    current = f"aggregate(s.cuts, {line}, (x, cut) -> concat(left(x, cut.p), substring(x, cut.q)))"
-    cut = f"named_struct('p', p - 1 + n, 'q', p + {MIN_TOKEN_REPEATS} * n)"
-    replaced = let(
-        "shorter",
-        f"concat(left(now, p - 1 + n), substring(now, p + {MIN_TOKEN_REPEATS} * n))",
-        f"""named_struct('cap', {_longest_recurring_prefix('shorter')}, 'cuts', array_append(s.cuts, {cut}),
-            'lengths', {_possible_lengths('shorter')})""",
-    )
-    at = f"instr(now, repeat(left(now, n), {MIN_TOKEN_REPEATS}))"
-    attempt = let("now", current, let("p", at, f"CASE WHEN p = 0 THEN s ELSE {replaced} END"))
-    start = f"""named_struct('cap', cap, 'cuts', cast(array() AS array<struct<p:int,q:int>>),
-        'lengths', {_possible_lengths(line)})"""
-    possible = "n <= s.cap AND (s.lengths IS NULL OR array_contains(s.lengths, n))"
-    from_longest = f"""aggregate(sequence(cap, {MIN_TOKEN_LENGTH}, -1), {start},
-        (s, n) -> CASE WHEN {possible} THEN {attempt} ELSE s END, s -> {current})"""
-    # Nearly every line stops at these two tests.
-    return f"""CASE WHEN octet_length({line}) >= {MIN_TOKEN_LENGTH * MIN_TOKEN_REPEATS}
-            AND position(left({line}, {MIN_TOKEN_LENGTH}), {line}, {2 * MIN_TOKEN_LENGTH + 1}) > 0
-        THEN {let('cap', _longest_recurring_prefix(line), from_longest)} ELSE {line} END"""
-
-
 def _strip(text: str) -> str:
     blank = f"{starts_blank(text)} OR {ends_blank(text)}"
     return f"CASE WHEN {blank} THEN btrim({text}, {sql_text(BLANKS)}) ELSE {text} END"
@@ -192,7 +128,7 @@ def drop_empty_headings(text: str) -> Column:
 
 def collapse_repeats(text: str) -> Column:
     """Per line: if a prefix of 10+ characters occurs three times in a row anywhere, keep one copy; longest prefix first."""
-    return F.expr(f"array_join(transform({lines(text)}, line -> {_collapse_line('line')}), '\n')")
+    return F.expr(f"array_join(transform({lines(text)}, line -> {collapsed_line('line')}), '\n')")
 
 
 def strip_document(text: str) -> Column:
@@ -204,6 +140,6 @@ def normalize(text: str, options: Normalization = Normalization()) -> Column:
     """All steps in order. Empty and null text is returned as it is."""
     body = _collapse_newlines(_strip_trailing(_protect_code(text, "blocks")), options.max_consecutive_newlines)
     kept = _kept_lines(_unify_bullets(body, options.bullet_char))
-    joined = f"array_join(transform({kept}, line -> {_collapse_line('line')}), '\n')"
+    joined = f"array_join(transform({kept}, line -> {collapsed_line('line')}), '\n')"
     restored = let("body", let("joined", joined, _strip("joined")), _restore_code("body", "blocks"))
     return F.expr(f"CASE WHEN length({text}) > 0 THEN {let('blocks', _code_blocks(text), restored)} ELSE {text} END")

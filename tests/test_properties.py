@@ -90,6 +90,44 @@ def test_long_lines_stay_exact(evaluate):
     assert evaluate(N.collapse_repeats, texts) == [E.collapse_line(t) for t in texts]
 
 
+def test_lines_whose_beginning_recurs(evaluate):
+    rng = random.Random(9)
+    texts = ["", "a" * 29, "a" * 30, "a" * 95]
+    for _ in range(1500):
+        letters = rng.choice(["a", "ab", "abc", "é😀b", "abcdefghij "])
+        line = "".join(rng.choice(letters) for _ in range(rng.randint(1, 25)))
+        for _ in range(rng.randint(0, 5)):
+            begin = rng.randint(0, len(line))
+            end, k = min(len(line), begin + rng.randint(0, 40)), rng.randint(1, 30)
+            line = rng.choice(
+                [
+                    line + line[begin:end] * rng.randint(1, 4),
+                    line[:end] * rng.randint(1, 3) + line[begin:],
+                    line + line[:k] * 3 + rng.choice(letters),
+                    line[:k] * rng.randint(2, 9) + line,
+                ]
+            )[:300]
+        texts.append(line)
+    assert evaluate(N.collapse_repeats, texts) == [E.collapse_line(t) for t in texts]
+
+
+def test_many_starts_in_a_long_line(evaluate):
+    rng = random.Random(10)
+
+    def filler(size):
+        return "".join(rng.choice("bcdfgh ") for _ in range(size))
+
+    head = "start here"
+    spaced = "".join(head + filler(990) for _ in range(80))
+    dense = "".join(head + filler(rng.randint(1, 4)) + "!" for _ in range(4000))
+    assert evaluate(N.collapse_repeats, [spaced, spaced + head * 3, dense, "ab" * 20000]) == [
+        spaced,
+        spaced + head,
+        E.collapse_line(dense),
+        E.collapse_line("ab" * 20000),
+    ]
+
+
 def test_documents_table(spark):
     rows = (
         spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
