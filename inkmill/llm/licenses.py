@@ -1,7 +1,8 @@
 """License scans as an exact set-similarity join of text blocks with license notices.
 
-A block is a line. It matches a notice if it holds at least `share` of the notice's distinct words. Words are ordered by
-their frequency in the documents, rarest first. By that order a block that matches must share one of the first words of the
+A block is a line with words and, since notices are wrapped over lines, as many words after it as the longest notice has, less
+one. So a notice lies in the block of the line in which it begins, wherever it is broken and with comment marks or empty
+lines in between. A block matches a notice if it holds at least `share` of the notice's distinct words. Words are ordered by their frequency in the documents, rarest first. By that order a block that matches must share one of the first words of the
 notice (prefix filter), have enough words of the notices at all (length filter), and have enough of them left from the first
 shared word on (positional filter). What passes is counted exactly. Texts are read once; the frequencies and the join work on
 the notices' words found in them.
@@ -43,8 +44,17 @@ _WORD = r"[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
+def _sequence(notice: str) -> list[str]:
+    return "".join(c if c.isalnum() else " " for c in notice.lower()).split()
+
+
 def _words(notice: str) -> list[str]:
-    return sorted(set("".join(c if c.isalnum() else " " for c in notice.lower()).split()))
+    return sorted(set(_sequence(notice)))
+
+
+def _following(notices) -> int:
+    """Words after a line that its block takes in: a notice that begins in the line has no more of them left."""
+    return max(len(_sequence(n)) for _, n in notices) - 1
 
 
 def _array(words: list[str]) -> str:
@@ -57,15 +67,16 @@ def _need(n: int, share: float) -> int:
 
 
 def scanned(docs: DataFrame, notices=NOTICES, phrases=PHRASES, share: float = SHARE) -> DataFrame:
-    """Per document: doc_id, n_words, base (label and starts of each phrase), known (notice words in it), and blocks."""
+    """Per document: doc_id, n_words, base (label and starts of each phrase), present (notice words in it), and blocks."""
     vocabulary = sorted({w for _, n in notices for w in _words(n)} | {w for p, _ in phrases for w in p.split()})
     least = min(_need(len(_words(n)), share) for _, n in notices)
     low = f"CASE WHEN octet_length(t) = length(t) THEN lower(t) ELSE translate(t, '{_UPPER}', '{_UPPER.lower()}') END"
-    lines = docs.select("doc_id", whole_text().alias("t")).selectExpr(
-        "doc_id", f"transform(split({low}, '\\n', -1), l -> regexp_extract_all(l, '{_WORD}', 0)) AS lines"
-    )
-    known = lines.selectExpr("doc_id", "lines", f"transform(lines, l -> array_intersect(l, {_array(vocabulary)})) AS known")
-    flat = known.selectExpr("doc_id", "flatten(lines) AS w", "known", "array_distinct(flatten(known)) AS present")
+    words = f"transform(split({low}, '\\n', -1), l -> regexp_extract_all(l, '{_WORD}', 0))"
+    lines = docs.select("doc_id", whole_text().alias("t")).selectExpr("doc_id", f"filter({words}, l -> size(l) > 0) AS lines")
+    after = _following(notices)
+    flat = lines.selectExpr(
+        "doc_id", "lines", "flatten(lines) AS w", f"transform(lines, l -> slice(l, 1, {after})) AS heads"
+    ).selectExpr("*", f"array_intersect(w, {_array(vocabulary)}) AS present")
     bases = []
     for phrase, label in phrases:
         words = phrase.split()
@@ -75,7 +86,11 @@ def scanned(docs: DataFrame, notices=NOTICES, phrases=PHRASES, share: float = SH
         here = " AND ".join(f"array_contains(present, '{x}')" for x in words)
         starts = f"CASE WHEN {here} THEN transform({ends}, i -> i - {last}) ELSE array() END"
         bases.append(f"struct('{label}' AS label, {starts} AS starts)")
-    blocks = f"filter(transform(known, (k, i) -> struct(i AS line, k AS words)), b -> size(b.words) >= {least})"
+    # Each following line has a word, so that many lines have that many words.
+    block = f"concat(l, slice(flatten(slice(heads, i + 2, {after})), 1, {after}))"
+    worth = f"CASE WHEN size(present) >= {least} THEN lines ELSE cast(array() AS array<array<string>>) END"
+    blocks = f"""filter(transform({worth}, (l, i) -> struct(i AS line, array_intersect({block}, {_array(vocabulary)}) AS words)),
+        b -> size(b.words) >= {least})"""
     return flat.selectExpr(
         "doc_id", "cast(size(w) AS bigint) AS n_words", f"filter(array({', '.join(bases)}), b -> size(b.starts) > 0) AS base",
         "present", f"{blocks} AS blocks", "monotonically_increasing_id() AS id",
@@ -151,8 +166,13 @@ WITH d AS (
   FROM (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM w) WHERE w[i] = 'license'
 ), b AS (
   SELECT doc_id, label, i - CASE label WHEN 'gpl' THEN 3 ELSE 2 END AS start FROM p WHERE label IS NOT NULL
+), lw AS (
+  SELECT doc_id, line, len(regexp_extract_all(s, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS n
+  FROM (SELECT doc_id, unnest(string_split(t, chr(10))) AS s, generate_subscripts(string_split(t, chr(10)), 1) AS line FROM d)
+), li AS (
+  SELECT doc_id, n, sum(n) OVER (PARTITION BY doc_id ORDER BY line) AS upto FROM lw
 ), l AS (
-  SELECT doc_id, regexp_extract_all(unnest(string_split(t, chr(10))), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS x FROM d
+  SELECT doc_id, w[(upto - n + 1)::BIGINT:(upto + {_following(NOTICES)})::BIGINT] AS x FROM li JOIN w USING (doc_id) WHERE n > 0
 ), m AS (
   SELECT doc_id, label, len(list_intersect(n, x))::DOUBLE / len(n) AS c
   FROM l, (VALUES {_VALUES}) v(label, n, need) WHERE len(list_intersect(n, x)) >= need

@@ -2,6 +2,8 @@
 
 import hashlib
 import random
+import re
+import textwrap
 import time
 
 from inkmill.llm import hosts, licenses, lines, mixing, rules
@@ -145,6 +147,40 @@ def test_license_scan(spark):
     assert licenses.labelled(docs.limit(0)).count() == 0
 
 
+def test_wrapped_license_notices(spark):
+    """Every notice is found however it is wrapped, and blocks are those of a plain reading of the definition."""
+    rnd = random.Random(8)
+    rows, expected = [], {}
+    for label, notice in licenses.NOTICES:
+        for width in (12, 20, 45, 70):
+            for mark in ("", "# ", " * \n"):
+                text = prose(rnd, 5) + "\n" + "\n".join(mark + x for x in textwrap.wrap(notice, width, break_long_words=False)) + "\n\n" + prose(rnd, 30)
+                expected[len(rows)] = label
+                rows.append((len(rows), text, None))
+    vocabulary = sorted({w for _, n in licenses.NOTICES for w in licenses._words(n)})
+    for _ in range(150):
+        some = [w for w in vocabulary if rnd.random() < 0.5]
+        rows.append((len(rows), "".join(rnd.choice(some or ["x"]) + rnd.choice([" ", " ", " ", "\n", "\n \n"]) for _ in range(rnd.randrange(90))), None))
+    found = {r.doc_id: r.labels.split(",") for r in licenses.labelled(frame(spark, rows)).collect()}
+    assert all(label in found[i] for i, label in expected.items())
+    after = max(len(re.findall("[a-z0-9]+", n.lower())) for _, n in licenses.NOTICES) - 1
+    for i, text, _ in rows:
+        words, labels = [], set()
+        lines = [re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", x) for x in text.lower().split("\n")]
+        words = [w for x in lines for w in x]
+        begin = 0
+        for x in lines:
+            block = set(words[begin : begin + len(x) + after]) if x else set()
+            begin += len(x)
+            for label, notice in licenses.NOTICES:
+                need = set(re.findall("[a-z0-9]+", notice.lower()))
+                if 10 * len(need & block) >= 9 * len(need):
+                    labels.add(label)
+        flat = " " + " ".join(words) + " "
+        labels |= {label for phrase, label in licenses.PHRASES if f" {phrase} " in flat}
+        assert sorted(labels) == [x for x in found[i] if x], (i, text)
+
+
 def test_url_rules_and_reputation(spark):
     urls = [
         (1, "http://a.Example.NET/en/1?x", "block-or-allow"), (2, "https://b.net", None), (3, None, None), (4, "no scheme", None),
