@@ -87,14 +87,34 @@ def binary_type(content: str) -> Column:
     return F.expr(f"CASE {' '.join(cases)} END")
 
 
-def _units(content: str, order: str) -> str:
-    """Two-byte units of `content` as hexadecimal digits with a blank behind each."""
-    return f"regexp_replace(hex({content}), '(..)(..)', '{order}')"
+# Two-byte units as regular expressions over bytes that are read as Latin-1. Alternatives differ in one byte and runs are possessive,
+# so each expression is one pass over the bytes, without recursion.
+def _latin(expression: str) -> str:
+    return f"r'(?s){expression}'"
 
 
-def _paired(units: str) -> str:
-    """Every surrogate has its partner."""
-    return f"NOT {units} RLIKE r'\\bD[89AB].. (?!D[C-F])|(?<!\\bD[89AB].. )\\bD[C-F]'"
+def _unit(order: str, first: str, second: str) -> str:
+    """A unit with its first byte in big-endian order and the other one."""
+    return first + second if order == "big" else second + first
+
+
+def _paired(s: str, order: str) -> str:
+    """Every surrogate has its partner; `s` holds the bytes as Latin-1."""
+    pair = _unit(order, r"[\xD8-\xDB]", ".") + _unit(order, r"[\xDC-\xDF]", ".")
+    return f"{s} RLIKE {_latin(rf'\A(?:{_unit(order, r'[^\xD8-\xDF]', '.')}|{pair})*+\z')}"
+
+
+def _plain(s: str, order: str) -> str:
+    """Every surrogate has its partner, and no unit is a control character that text does not hold."""
+    pair = _unit(order, r"[\xD8-\xDB]", ".") + _unit(order, r"[\xDC-\xDF]", ".")
+    basic = _unit(order, r"\x00", r"[\x09-\x0D\x20-\x7E\x80-\xFF]")
+    return f"{s} RLIKE {_latin(rf'\A(?:{basic}|{_unit(order, r'[\x01-\xD7\xE0-\xFF]', '.')}|{pair})*+\z')}"
+
+
+def _zeros(s: str, order: str) -> str:
+    """Units whose first byte in big-endian order is zero: what is shorter without the runs of them, in units."""
+    runs = rf"\G((?:{_unit(order, r'[^\x00]', '.')})*+)(?:{_unit(order, r'\x00', '.')})++"
+    return f"div(length({s}) - length(regexp_replace({s}, {_latin(runs)}, '$1')), 2)"
 
 
 def charset(content: str) -> Column:
@@ -108,18 +128,18 @@ def _charset(content: str) -> str:
         f"hex(substring({content}, {first + 1}, {len(digits) // 2})) = '{digits}'"
         for _, first, digits in (*SIGNATURES, ("", 0, ZIP_SIGNATURE))
     )
-    little, big = _units("b", "$2$1 "), _units("b", "$1$2 ")
+    even = "octet_length(b) % 2 = 0"
+    bound = lambda value, name, body: f"transform(array({value}), {name} -> {body})[0]"
+    in_latin = lambda body: bound("decode(b, 'ISO-8859-1')", "s", body)
     # Of the units' first bytes in big-endian order, nearly all are zero in Western text, and few of their second bytes.
-    zeros = lambda units: f"regexp_count({units}, r'\\b00')"
-    plain = lambda units: f"{_paired(units)} AND NOT {units} RLIKE r'\\b00(0[0-8EF]|1|7F)'"
-    guessed = f"""CASE WHEN octet_length(b) % 2 = 0 AND 10 * {zeros(little)} >= 2 * octet_length(b) AND 20 * {zeros(big)} <= octet_length(b)
-            AND {plain(little)} THEN 'UTF-16LE'
-        WHEN octet_length(b) % 2 = 0 AND 10 * {zeros(big)} >= 2 * octet_length(b) AND 20 * {zeros(little)} <= octet_length(b)
-            AND {plain(big)} THEN 'UTF-16BE' END"""
+    zeros = f"named_struct('little', {_zeros('s', 'little')}, 'big', {_zeros('s', 'big')})"
+    guessed = in_latin(bound(zeros, "z", f"""CASE
+        WHEN {even} AND 10 * z.little >= 2 * octet_length(b) AND 20 * z.big <= octet_length(b) AND {_plain('s', 'little')} THEN 'UTF-16LE'
+        WHEN {even} AND 10 * z.big >= 2 * octet_length(b) AND 20 * z.little <= octet_length(b) AND {_plain('s', 'big')} THEN 'UTF-16BE' END"""))
     return f"""transform(array({content}), b -> CASE
         WHEN hex(substring(b, 1, 3)) = 'EFBBBF' THEN CASE WHEN is_valid_utf8(cast(b AS string)) AND NOT contains(b, X'00') THEN 'UTF-8' END
-        WHEN hex(substring(b, 1, 2)) = 'FFFE' THEN CASE WHEN octet_length(b) % 2 = 0 AND {_paired(little)} THEN 'UTF-16LE' END
-        WHEN hex(substring(b, 1, 2)) = 'FEFF' THEN CASE WHEN octet_length(b) % 2 = 0 AND {_paired(big)} THEN 'UTF-16BE' END
+        WHEN hex(substring(b, 1, 2)) = 'FFFE' THEN CASE WHEN {even} AND {in_latin(_paired('s', 'little'))} THEN 'UTF-16LE' END
+        WHEN hex(substring(b, 1, 2)) = 'FEFF' THEN CASE WHEN {even} AND {in_latin(_paired('s', 'big'))} THEN 'UTF-16BE' END
         WHEN contains(b, X'00') THEN CASE WHEN NOT ({signed}) THEN {guessed} END
         WHEN is_valid_utf8(cast(b AS string)) THEN 'UTF-8'
         WHEN NOT ({signed}) AND NOT decode(b, 'ISO-8859-1') RLIKE r'[\x01-\x08\x0E-\x1F\x7F]' THEN 'windows-1252' END)[0]"""

@@ -132,3 +132,39 @@ PACKAGES = [
 def test_packages(evaluate, i):
     content, kind = PACKAGES[i]
     assert evaluate(sniff.binary_type, [content], "c binary") == [kind]
+
+
+def wide_charset(content: bytes) -> str | None:
+    """Character set of two-byte text with zero bytes and without a mark or signature, by the rules."""
+    for name, first in (("utf-16-le", 1), ("utf-16-be", 0)):
+        zeros, others = content[first::2].count(0), content[1 - first :: 2].count(0)
+        if len(content) % 2 or 10 * zeros < 2 * len(content) or 20 * others > len(content):
+            continue
+        try:
+            text = content.decode(name)
+        except UnicodeDecodeError:
+            continue
+        if not any(c < "\x20" and not "\t" <= c <= "\r" or c == "\x7f" for c in text):
+            return "UTF-16LE" if first else "UTF-16BE"
+    return None
+
+
+def test_two_byte_text_is_told_by_its_units(evaluate):
+    rnd = random.Random(5)
+    contents = [b"\0", b"\0\0", b"a\0\xd8\0", b"a\0a\0\0\xd8\0\xdc"]
+    for name in ("utf-16-le", "utf-16-be"):
+        for _ in range(400):
+            codes = [rnd.choice([rnd.randrange(32, 127)] * 9 + [0x4E00, 0x1F600, 0x20AC, 0x7F, 0x1F, 0x10FF00]) for _ in range(rnd.randrange(1, 30))]
+            content = bytearray("".join(map(chr, [65, *codes])).encode(name))
+            if rnd.random() < 0.3:
+                content.insert(rnd.randrange(2, len(content) + 1), rnd.choice([0, 0xD8, 0xDC]))
+            if rnd.random() < 0.3:
+                content[2:2] = rnd.choice([b"\xd8\0", b"\0\xdc", b"\xd8\x01"])
+            contents.append(bytes(content))
+    contents = [c for c in contents if 0 in c]
+    assert evaluate(sniff.charset, contents, "c binary") == [wide_charset(c) for c in contents]
+
+
+def test_two_byte_text_is_judged_without_writing_out_its_digits():
+    # Every unit as hexadecimal digits, eight times over, took most of the time of reading such text.
+    assert "hex(b)" not in sniff._charset("c")
