@@ -4,7 +4,8 @@ A text is split by the vocabulary's pattern. A piece that is a vocabulary entry
 hash; any other piece is merged from its bytes, which are linked to their neighbours, by a heap of candidate merges, lowest
 rank and leftmost first. Ids are kept as little-endian unsigned 32-bit integers. The vocabulary and the hash are built once on
 the driver and broadcast: their size is that of the vocabulary file, whatever the documents. Texts are encoded where they are
-read; nothing is shuffled.
+read; nothing is shuffled. What is decoded right after it was encoded is decoded in the same pass over the rows, so the ids, which
+can be several times as long as the texts, do not go to a second worker.
 
 Defined results: a null or empty text has no ids and decodes to empty bytes; repeated rows are encoded alike, one row each; a
 null id stays null; an empty table gives an empty result. Other columns are ignored. Memory is that of one text's pieces
@@ -26,8 +27,8 @@ from pyspark.sql import types as T
 
 from inkmill.llm.common import whole_text
 
-#: Pieces whose ids a task remembers; the table is emptied when it is full.
-REMEMBERED = 150_000
+#: Pieces whose ids a task remembers: those it met again, a table that is emptied when it is full, and those it met once.
+REMEMBERED, ONCE = 100_000, 50_000
 NO_RANK = 1 << 31
 
 
@@ -125,14 +126,34 @@ class Encoder:
         return b"".join(map(self.packed_rank.__getitem__, self.merged(piece)))
 
     def texts(self, texts: Iterator[str]) -> Iterator[bytes]:
-        split, known = regex.compile(self.pattern).findall, {}
+        split, known = regex.compile(self.pattern).findall, Known(self.piece)
         for text in texts:
-            pieces = split(text)
-            for new in set(pieces).difference(known):
-                known[new] = self.piece(new)
-            yield b"".join(map(known.__getitem__, pieces))
-            if len(known) > REMEMBERED:
-                known.clear()
+            yield b"".join(map(known.__getitem__, split(text)))
+            known.trim()
+
+
+class Known(dict):
+    """Results of pieces that were met at least twice; those met once are kept beside them until many others have been met.
+
+    Most pieces of a text are common ones, and most different pieces are met once: they must not drive out the common ones.
+    """
+
+    def __init__(self, make):
+        self.make, self.fresh, self.older = make, {}, {}
+
+    def __missing__(self, piece: str) -> bytes:
+        found = self.fresh.pop(piece, None) or self.older.pop(piece, None)
+        if found is None:
+            found = self.fresh[piece] = self.make(piece)
+        else:
+            self[piece] = found
+        return found
+
+    def trim(self) -> None:
+        if len(self.fresh) > ONCE // 2:
+            self.older, self.fresh = self.fresh, {}
+        if len(self) > REMEMBERED:
+            self.clear()
 
 
 def encode(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
@@ -150,7 +171,9 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
                 n = pa.array([len(x) // 4 for x in ids], pa.int64())
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), n, pa.array(ids, pa.binary())], ["doc_id", "n_tokens", "ids"])
 
-    return rows.mapInArrow(run, schema)
+    encoded = rows.mapInArrow(run, schema)
+    encoded.made_by = rows, run
+    return encoded
 
 
 def slices(batch: pa.RecordBatch, rows: int = 1000) -> Iterator[pa.RecordBatch]:
@@ -159,20 +182,42 @@ def slices(batch: pa.RecordBatch, rows: int = 1000) -> Iterator[pa.RecordBatch]:
         yield batch.slice(start, rows)
 
 
+class Decoder:
+    """Tokens one after another in the order of their ranks, which need not be without gaps."""
+
+    def __init__(self, ranks: dict[bytes, int]):
+        tokens = sorted(ranks, key=ranks.__getitem__)
+        self.ranks = np.array([ranks[t] for t in tokens], np.uint32)
+        self.tokens = pa.array(tokens, pa.large_binary())
+
+    def texts(self, ids: pa.Array) -> pa.Array:
+        """What each binary of little-endian ids decodes to. An unknown id is an error."""
+        packs = [x.as_py() for x in ids]
+        flat = np.frombuffer(b"".join(packs), "<u4")
+        at = np.searchsorted(self.ranks, flat)
+        if len(flat) and (at.max() == len(self.ranks) or (self.ranks[at] != flat).any()):
+            raise KeyError("an id is not in the vocabulary")
+        # The tokens that were taken lie one after another: each text is a stretch of their bytes.
+        taken = self.tokens.take(pa.array(at))
+        _, places, data = taken.buffers()
+        ends = np.frombuffer(places, np.int64, len(taken) + 1, taken.offset * 8) if len(taken) else np.zeros(1, np.int64)
+        stops = ends[np.cumsum([0, *(len(x) // 4 for x in packs)])]
+        joined = memoryview(data) if data else b""
+        return pa.array([bytes(joined[a:b]) for a, b in zip(stops[:-1], stops[1:], strict=True)], pa.binary())
+
+
 def decode(encoded: DataFrame, ranks_path: str) -> DataFrame:
     """Add decoded (binary) to rows with ids."""
-    tokens = {rank: token for token, rank in read_ranks(ranks_path).items()}
-    shared = encoded.sparkSession.sparkContext.broadcast(tokens)
+    decoder = encoded.sparkSession.sparkContext.broadcast(Decoder(read_ranks(ranks_path)))
     schema = T.StructType([*encoded.schema.fields, T.StructField("decoded", T.BinaryType())])
+    rows, before = getattr(encoded, "made_by", (encoded, lambda batches: batches))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        token = shared.value.__getitem__
-        for batch in batches:
+        for batch in before(batches):
             for part in slices(batch):
-                texts = [b"".join(map(token, np.frombuffer(x.as_py(), "<u4").tolist())) for x in part.column("ids")]
-                yield part.append_column("decoded", pa.array(texts, pa.binary()))
+                yield part.append_column("decoded", decoder.value.texts(part.column("ids")))
 
-    return encoded.mapInArrow(run, schema)
+    return rows.mapInArrow(run, schema)
 
 
 def query(spark, folder):

@@ -336,6 +336,28 @@ def test_encoding_is_that_of_tiktoken(spark):
     assert bpe.encode(docs.limit(0), path, public_tokenizers.PATTERN).count() == 0
 
 
+def test_texts_are_decoded_in_the_pass_that_encodes_them(spark):
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    docs = frame(spark, edge_rows())
+    encoded = bpe.encode(docs, path, public_tokenizers.PATTERN)
+    both = bpe.decode(encoded, path)
+    assert both._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+    # Ids that come from elsewhere are decoded alike.
+    assert in_order(map(tuple, both.collect())) == in_order(map(tuple, bpe.decode(encoded.select("*"), path).collect()))
+
+
+def test_pieces_met_once_do_not_drive_out_common_ones(monkeypatch):
+    monkeypatch.setattr(bpe, "ONCE", 20)
+    monkeypatch.setattr(bpe, "REMEMBERED", 20)
+    made = []
+    known = bpe.Known(lambda piece: made.append(piece) or piece.encode())
+    for i in range(500):
+        assert [known[x] for x in ("the", f"rare{i}", "the")] == [b"the", b"rare%d" % i, b"the"]
+        known.trim()
+        assert len(known) + len(known.fresh) + len(known.older) <= 50
+    assert made.count("the") == 1 and len(made) == 501
+
+
 def test_perfect_hash_is_minimal():
     keys = [f"key{i}".encode() for i in range(5000)]
     table = bpe.PerfectHash(keys)
