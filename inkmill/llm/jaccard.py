@@ -291,6 +291,8 @@ def links(docs: DataFrame, profile: DataFrame) -> DataFrame:
     def fetched(classes: DataFrame) -> DataFrame:
         """fp and members of classes, from the texts of the documents that stand for them."""
         wanted = saved(classes.join(stands, "fp").select("fp", F.col("stand").alias("doc_id")))
+        if wanted.isEmpty():
+            return wanted.selectExpr("fp", "cast(NULL AS binary) AS members")
         bits = id_bits(wanted, "doc_id")
         members = placed(docs, bits, "doc_id").mapInArrow(
             _sets(spark.sparkContext.broadcast(bits)), "doc_id long, fp long, members binary"
@@ -323,6 +325,9 @@ def links(docs: DataFrame, profile: DataFrame) -> DataFrame:
                 break
         now = lists if turn else lists.withColumn("component", F.col("fp"))
         pairs = promising(_chained(now, turn) if turn < len(REACH) else _crossing(now))
+        if pairs.isEmpty():
+            dropped(pairs)
+            continue
         held = pairs.select(F.col("a").alias("fp")).union(pairs.select("b")).distinct()
         fetches.append(fetched(held.join(sets.select("fp"), "fp", "left_anti")))
         sets = sets.union(fetches[-1])

@@ -336,6 +336,15 @@ def test_encoding_is_that_of_tiktoken(spark):
     assert bpe.encode(docs.limit(0), path, public_tokenizers.PATTERN).count() == 0
 
 
+def test_rounds_without_pairs_read_no_documents(spark, monkeypatch):
+    reads = []
+    monkeypatch.setattr(jaccard, "id_bits", lambda *a: reads.append(a))
+    base = " ".join(f"w{i}" for i in range(12))
+    docs = frame(spark, [(1, base, None), (2, base, None), (3, " ".join(f"v{i}" for i in range(12)), None), (4, None, None)])
+    assert in_order(tuple(r) for r in jaccard.near_duplicates(docs).select("doc_id", "component_id").collect()) == [(1, 1), (2, 1), (3, 3), (4, 4)]
+    assert not reads
+
+
 def test_texts_are_decoded_in_the_pass_that_encodes_them(spark):
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     docs = frame(spark, edge_rows())
