@@ -176,7 +176,7 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
     return encoded
 
 
-def slices(batch: pa.RecordBatch, rows: int = 1000) -> Iterator[pa.RecordBatch]:
+def slices(batch: pa.RecordBatch, rows: int = 200) -> Iterator[pa.RecordBatch]:
     """A batch in parts, so that what is made of it stays small."""
     for start in range(0, batch.num_rows, rows):
         yield batch.slice(start, rows)

@@ -6,6 +6,7 @@ import random
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 from pyspark.sql import functions as F
@@ -336,6 +337,11 @@ def test_encoding_is_that_of_tiktoken(spark):
     assert bpe.encode(docs.limit(0), path, public_tokenizers.PATTERN).count() == 0
 
 
+def test_slices_keep_what_is_made_of_a_batch_small():
+    parts = list(bpe.slices(pa.RecordBatch.from_pydict({"x": list(range(1001))})))
+    assert max(p.num_rows for p in parts) <= 200 and [x for p in parts for x in p.column("x").to_pylist()] == list(range(1001))
+
+
 def test_rounds_without_pairs_read_no_documents(spark, monkeypatch):
     reads = []
     monkeypatch.setattr(jaccard, "id_bits", lambda *a: reads.append(a))
