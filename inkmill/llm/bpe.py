@@ -4,12 +4,13 @@ A text is split by the vocabulary's pattern. A piece that is a vocabulary entry
 hash; any other piece is merged from its bytes, which are linked to their neighbours, by a heap of candidate merges, lowest
 rank and leftmost first. Ids are kept as little-endian unsigned 32-bit integers. The vocabulary and the hash are built once on
 the driver and broadcast: their size is that of the vocabulary file, whatever the documents. Texts are encoded where they are
-read; nothing is shuffled. What is decoded right after it was encoded is decoded in the same pass over the rows, so the ids, which
-can be several times as long as the texts, do not go to a second worker.
+read; nothing is shuffled. A worker keeps the pieces it has met from one batch and one task to the next. What is decoded right
+after it was encoded is decoded in the same pass over the rows, so the ids, which can be several times as long as the texts, do
+not go to a second worker.
 
 Defined results: a null or empty text has no ids and decodes to empty bytes; repeated rows are encoded alike, one row each; a
 null id stays null; an empty table gives an empty result. Other columns are ignored. Memory is that of one text's pieces
-beside a bounded table of pieces already encoded.
+beside a bounded table of pieces already encoded (about 100 MB a worker when it is full; `encode` can be given a share of it).
 """
 
 from __future__ import annotations
@@ -27,8 +28,8 @@ from pyspark.sql import types as T
 
 from inkmill.llm.common import whole_text
 
-#: Pieces whose ids a task remembers: those it met again, a table that is emptied when it is full, and those it met once.
-REMEMBERED, ONCE = 100_000, 50_000
+#: Pieces whose ids a worker remembers, from one task to the next: those it met again, and those it met once.
+REMEMBERED, ONCE = 300_000, 300_000
 NO_RANK = 1 << 31
 
 
@@ -76,14 +77,23 @@ class PerfectHash:
 
 
 class Encoder:
-    def __init__(self, ranks: dict[bytes, int], pattern: str):
-        self.pattern = pattern
+    def __init__(self, ranks: dict[bytes, int], pattern: str, share: float = 1):
+        self.pattern, self.share = pattern, share
         self.ranks = ranks
         self.tokens = list(ranks)
         self.hash = PerfectHash(self.tokens)
         self.packed = [rank.to_bytes(4, "little") for rank in ranks.values()]
         self.packed_rank = dict(zip(ranks.values(), self.packed, strict=True))
         self.pairs = [ranks.get(bytes((a, b)), NO_RANK) for a in range(256) for b in range(256)]
+        self.known, self.split = Known(self.piece, self.share), regex.compile(pattern).findall
+
+    def __getstate__(self) -> dict:
+        """Without what it has met: a worker gathers that by itself."""
+        return {k: v for k, v in self.__dict__.items() if k not in ("known", "split")}
+
+    def __setstate__(self, state: dict) -> None:
+        self.__dict__.update(state)
+        self.known, self.split = Known(self.piece, self.share), regex.compile(self.pattern).findall
 
     def merged(self, piece: bytes) -> list[int]:
         """Ids of a piece by repeated merges. `end[i]` is where the part that starts at i ends, 0 inside a part."""
@@ -126,23 +136,24 @@ class Encoder:
         return b"".join(map(self.packed_rank.__getitem__, self.merged(piece)))
 
     def texts(self, texts: Iterator[str]) -> Iterator[bytes]:
-        split, known = regex.compile(self.pattern).findall, Known(self.piece)
         for text in texts:
-            yield b"".join(map(known.__getitem__, split(text)))
-            known.trim()
+            yield b"".join(map(self.known.__getitem__, self.split(text)))
+            self.known.trim()
 
 
 class Known(dict):
     """Results of pieces that were met at least twice; those met once are kept beside them until many others have been met.
 
     Most pieces of a text are common ones, and most different pieces are met once: they must not drive out the common ones.
+    When half the places are taken, what is not met again until the other half is taken too is forgotten.
     """
 
-    def __init__(self, make):
-        self.make, self.fresh, self.older = make, {}, {}
+    def __init__(self, make, share: float = 1):
+        self.make, self.share = make, share
+        self.fresh, self.older, self.past = {}, {}, {}
 
     def __missing__(self, piece: str) -> bytes:
-        found = self.fresh.pop(piece, None) or self.older.pop(piece, None)
+        found = self.past.pop(piece, None) or self.fresh.pop(piece, None) or self.older.pop(piece, None)
         if found is None:
             found = self.fresh[piece] = self.make(piece)
         else:
@@ -150,16 +161,20 @@ class Known(dict):
         return found
 
     def trim(self) -> None:
-        if len(self.fresh) > ONCE // 2:
+        if len(self.fresh) > ONCE * self.share // 2:
             self.older, self.fresh = self.fresh, {}
-        if len(self) > REMEMBERED:
+        if len(self) > REMEMBERED * self.share // 2:
+            self.past = dict(self)
             self.clear()
 
 
-def encode(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
-    """doc_id, n_tokens and ids (binary) of each document."""
+def encode(docs: DataFrame, ranks_path: str, pattern: str, share: float = 1) -> DataFrame:
+    """doc_id, n_tokens and ids (binary) of each document.
+
+    `share` of the places for remembered pieces is used: less memory and more work where workers hold much else.
+    """
     rows = docs.select("doc_id", whole_text().alias("text"))
-    encoder = docs.sparkSession.sparkContext.broadcast(Encoder(read_ranks(ranks_path), pattern))
+    encoder = docs.sparkSession.sparkContext.broadcast(Encoder(read_ranks(ranks_path), pattern, share))
     schema = T.StructType([
         rows.schema["doc_id"], T.StructField("n_tokens", T.LongType()), T.StructField("ids", T.BinaryType())
     ])

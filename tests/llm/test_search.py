@@ -2,6 +2,7 @@
 
 import hashlib
 import math
+import pickle
 import random
 
 import numpy as np
@@ -373,6 +374,26 @@ def test_pieces_met_once_do_not_drive_out_common_ones(monkeypatch):
     assert made.count("the") == 1 and len(made) == 501
 
 
+def test_pieces_are_remembered_from_one_batch_to_the_next(monkeypatch):
+    ranks = {bytes([i]): i for i in range(256)} | {b"ab": 256}
+    encoder = bpe.Encoder(ranks, r"\w+|\s")
+    merged, made = encoder.merged, []
+    encoder.merged = lambda piece: made.append(piece) or merged(piece)
+    for _ in range(3):
+        assert [np.frombuffer(x, "<u4").tolist() for x in encoder.texts(["abc", "abc xyz"])] == [[256, 99], [256, 99, 32, 120, 121, 122]]
+    assert made == [b"abc", b"xyz"]
+    del encoder.merged
+    other = pickle.loads(pickle.dumps(encoder))
+    assert not other.known and not other.known.fresh and list(other.texts(["abc"])) == list(encoder.texts(["abc"]))
+    # What is remembered stays bounded, also of pieces that are met again.
+    monkeypatch.setattr(bpe, "ONCE", 20)
+    monkeypatch.setattr(bpe, "REMEMBERED", 20)
+    for i in range(500):
+        list(other.texts([f"ab{i} ab{i}"]))
+        known = other.known
+        assert len(known) + len(known.past) + len(known.fresh) + len(known.older) <= 60
+
+
 def test_perfect_hash_is_minimal():
     keys = [f"key{i}".encode() for i in range(5000)]
     table = bpe.PerfectHash(keys)
