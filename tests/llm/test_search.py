@@ -4,6 +4,7 @@ import hashlib
 import math
 import pickle
 import random
+import zlib
 
 import numpy as np
 import public_tokenizers
@@ -229,6 +230,28 @@ def test_boilerplate_of_many_texts_hides_no_passage(spark, monkeypatch, block):
     assert {(100, 101, 40, 60), (101, 100, 40, 60)} <= set(got)
 
 
+def test_texts_that_cannot_have_a_passage_leave_before_cells(spark):
+    rnd = random.Random(56)
+    phrase, passage = prose(rnd, 12), prose(rnd, 50)
+    texts = [f"{prose(rnd, 40)} {phrase} {prose(rnd, 40)}" for _ in range(40)]
+    texts += [f"{prose(rnd, 40)} {passage} {phrase}" for _ in range(2)] + [f"{passage[:-1]}x {prose(rnd, 60)}"]
+    kept = spark.createDataFrame([(i, zlib.compress(t.encode(), 1)) for i, t in enumerate(texts)], "fp long, packed binary")
+    left = [r.fp for r in passages.likely(kept, 46, 0.75).collect()]
+    # Few of the others stay, by chance: half of their shingles are not looked at.
+    assert {40, 41, 42} <= set(left) and len(set(left)) == len(left) < 15
+    assert passages.likely(kept.limit(0), 46, 0.75).count() == 0
+
+
+def test_texts_go_only_to_cells_where_they_have_a_pair_to_search():
+    rows = [(1, 0, 0, 0, fp, [1, 2, 3]) for fp in (5, 6)] + [(2, 0, 0, 0, fp, [1, 2, 3]) for fp in (5, 6)]
+    rows += [(3, 0, 1, 0, 5, [1, 2, 3]), (3, 0, 1, 0, 6, [1, 2, 3]), (3, 0, 1, 1, 7, [2, 3]), (3, 0, 1, 1, 8, [3])]
+    kinds = [("key", pa.int64()), ("i", pa.int32()), ("j", pa.int32()), ("part", pa.int32()), ("fp", pa.int64()), ("keys", pa.list_(pa.int64()))]
+    batch = pa.RecordBatch.from_arrays([pa.array(c, k) for c, (_, k) in zip(zip(*rows, strict=True), kinds, strict=True)], [n for n, _ in kinds])
+    got = [tuple(r.values()) for b in passages._needed(iter([batch])) for r in b.to_pylist()]
+    # 5 and 6 meet at key 1 already, 7 at key 2 with both; only 8 has pairs to search at key 3.
+    assert got == [(1, 0, 0, 0, 5), (1, 0, 0, 0, 6), (3, 0, 1, 0, 5), (3, 0, 1, 0, 6), (3, 0, 1, 1, 8)]
+
+
 @pytest.mark.parametrize("at", range(50))
 def test_passages_with_a_changed_word_are_decided_by_similarity(at):
     rng = np.random.default_rng(at)
