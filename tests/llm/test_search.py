@@ -4,6 +4,7 @@ import hashlib
 import math
 import pickle
 import random
+import uuid
 import zlib
 
 import numpy as np
@@ -58,6 +59,38 @@ def test_top_k_of_scores_beyond_53_bits(spark, monkeypatch):
     assert max(r.score for r in got) > 2**53
 
 
+def test_a_tree_goes_to_a_task_once_for_all_blocks_there(spark, monkeypatch, tmp_path):
+    rnd = np.random.default_rng(13)
+    rows = [(i, [float(x) for x in v]) for i, v in enumerate(rnd.normal(size=(480, 16)) * rnd.choice([0.2, 200.0], size=(480, 1)))]
+    rows += [(500 + i, [0.5] * 4) for i in range(20)]
+    for name, value in (("SHARD_ROWS", 25), ("BLOCK_ROWS", 4), ("CELLS_A_CORE", 1), ("CELL_COMPONENTS", 3200), ("MOST_PARTS", 2)):
+        monkeypatch.setattr(balltree, name, value, raising=False)
+    real = balltree._searched
+
+    def noting(k):
+        def run(batches):
+            def noted():
+                for batch in batches:
+                    held = sum(len(v) for v in pa.array(batch["vectors"]).to_pylist() if v is not None)
+                    (tmp_path / uuid.uuid4().hex).write_text(str(held))
+                    yield batch
+
+            yield from real(k)(noted())
+
+        return run
+
+    monkeypatch.setattr(balltree, "_searched", noting)
+    found = balltree.integer_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>"))
+    asked = found.filter(F.col("vec_id") % 2 == 0)
+    got = balltree.top_k(found, asked).collect()
+    clean = [(i, [math.floor(256 * x) for x in v]) for i, v in rows]
+    for q, v in clean[::40] + clean[-2::-2][:3]:
+        scored = sorted((-sum(a * b for a, b in zip(v, u, strict=True)), i) for i, u in clean if i != q and len(u) == len(v))[:5]
+        assert sorted((r["rank"], r.vec_id, r.score) for r in got if r.query_id == q) == [(n + 1, i, -s) for n, (s, i) in enumerate(scored)]
+    # 63 blocks ask: sent with each of them, the vectors would travel 63 times.
+    assert sum(int(p.read_text()) for p in tmp_path.iterdir()) < 25 * 480 * 16 * 8
+
+
 def test_branch_and_bound_leaves_branches_out():
     rng = np.random.default_rng(0)
     centres = rng.normal(size=(20, 8)) * 100
