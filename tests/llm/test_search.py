@@ -158,6 +158,32 @@ def test_signatures_of_the_largest_sets(monkeypatch):
     assert jaccard.differing(*signs) <= 64 and jaccard.differing(signs[0], signs[0]) == 0
 
 
+def test_pairs_of_too_few_common_shingles_are_not_searched(monkeypatch):
+    rng = np.random.default_rng(8)
+    texts = [rng.permutation(np.arange(1, 201, dtype=np.uint64))[:60] for _ in range(30)]
+    texts.append(np.concatenate((texts[4][:55], texts[5][:5])))
+    rows = [(1, n, np.array([1]), x) for n, x in enumerate(texts)]
+    want = [(a, b) for b in range(31) for a in range(b) if passages.stretches(texts[a], texts[b], 46, 0.75)]
+    searched, real = [], passages.stretches
+    monkeypatch.setattr(passages, "stretches", lambda *a: searched.append(1) or real(*a))
+    # All shingles of a text are among those of all others together, so no text is left out by itself.
+    assert sorted({r[:2] for r in passages._met(rows, None, 46, 0.75)}) == want == [(4, 30)]
+    assert {r[:2] for r in passages._met(rows[:30], rows[30:], 46, 0.75)} == {(4, 30)}
+    assert len(searched) <= 4
+
+
+def test_stretches_of_the_same_repeated_words_are_tried_once(monkeypatch):
+    others = np.arange(100, 130, dtype=np.uint64)
+    x = np.concatenate((others, np.full(300, 7, np.uint64)))
+    parts = [np.concatenate((np.full(40, 7, np.uint64), np.arange(n, n + 10, dtype=np.uint64))) for n in range(500, 600, 10)]
+    y = np.concatenate((*parts, np.full(60, 7, np.uint64)))
+    compared, real = [], passages._share
+    monkeypatch.setattr(passages, "_share", lambda *a: compared.append(1) or real(*a))
+    # The best stretch of y holds all its parts, which is no passage.
+    assert passages.stretches(x, y, 46, 0.75) == []
+    assert len(compared) < 50
+
+
 def test_jaccard_join_of_nothing(spark):
     docs = frame(spark, edge_rows())
     assert jaccard.near_duplicates(docs.limit(0)).count() == 0
